@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -19,26 +19,29 @@ class QualityError(Exception):
 
 @dataclass(frozen=True)
 class Rule:
-    """One check. ``failing`` counts failing rows in the common pass; unique rules group instead."""
+    """One check. ``fails`` says of a column where it fails; unique rules have ``keys`` instead.
+
+    Rules are plain values and may be declared before a session exists.
+    """
 
     check: str
     column: str
-    failing: Column | None = None
+    fails: Callable[[Column], Column] | None = None
     keys: tuple[str, ...] = ()
 
 
 def not_null(c: str) -> Rule:
-    return Rule("not_null", c, F.count_if(F.col(c).isNull()))
+    return Rule("not_null", c, lambda value: value.isNull())
 
 
 def positive(c: str) -> Rule:
     """Greater than zero; NULL passes."""
-    return Rule("positive", c, F.count_if(~(F.col(c) > 0)))
+    return Rule("positive", c, lambda value: ~(value > 0))
 
 
 def accepted_values(c: str, values: Sequence) -> Rule:
     """In the list; NULL passes."""
-    return Rule("accepted_values", c, F.count_if(~F.col(c).isin(*values)))
+    return Rule("accepted_values", c, lambda value: ~value.isin(*values))
 
 
 def unique(*columns: str) -> Rule:
@@ -62,9 +65,11 @@ def check(df: DataFrame, rules: Sequence[Rule], enforce: bool = False) -> DataFr
     With ``enforce`` the report is computed at once and any failing rule raises.
     """
     parts = []
-    rowwise = [r for r in rules if r.failing is not None]
+    rowwise = [r for r in rules if r.fails]
     if rowwise:
-        counted = df.agg(*[r.failing.alias(f"_{i}") for i, r in enumerate(rowwise)])
+        counted = df.agg(
+            *[F.count_if(r.fails(F.col(r.column))).alias(f"_{i}") for i, r in enumerate(rowwise)]
+        )
         rows = F.array(*[_report_row(r, F.col(f"_{i}")) for i, r in enumerate(rowwise)])
         parts.append(counted.select(F.inline(rows)))
     for rule in (r for r in rules if r.keys):

@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Size that adaptive execution joins and splits shuffle partitions to; also the size of files
+    # written after a rebalance.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Sessions are merged inside each task before the shuffle, so a hot key ships few rows.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Window state lives on disk beside the heap, not in it.

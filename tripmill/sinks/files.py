@@ -44,13 +44,13 @@ def with_month(df: DataFrame, month_of: str) -> DataFrame:
     return df.withColumn(MONTH, year_month(month_of))
 
 
-def by_month(df: DataFrame, *spread: str) -> DataFrame:
+def by_month(df: DataFrame) -> DataFrame:
     """Rows of a month together, in as many tasks as its size asks for.
 
     The rebalance hint lets adaptive execution split a month that is too big for one task and join
     small ones, so one hot month neither becomes one slow task nor leaves hundreds of tiny files.
     """
-    return df.hint("rebalance", MONTH, *spread)
+    return df.hint("rebalance", MONTH)
 
 
 def write_layout(
@@ -58,11 +58,11 @@ def write_layout(
 ) -> None:
     """Parquet in one folder per month of ``month_of``, each file sorted by ``sort_by``.
 
-    Rows are spread by month and first sort column, so the files of a month differ in that column
-    and row-group statistics can skip most of them.
+    A filter on the month opens few folders; inside a file, statistics of row groups and pages skip
+    what a filter on the sort columns excludes.
     """
     (
-        by_month(with_month(df, month_of), *sort_by[:1])
+        by_month(with_month(df, month_of))
         .sortWithinPartitions(MONTH, *sort_by)
         .write.mode(mode)
         .partitionBy(MONTH)

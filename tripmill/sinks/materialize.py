@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.functions.predicates import as_date, month_number
 from tripmill.session import shared_dir
 from tripmill.sinks.files import MONTH, by_month, with_month
 from tripmill.sources.months import months_between
-from tripmill.storage import exists, remove
+from tripmill.storage import child_names, exists, remove
 
 STRATEGIES = ("append", "replace", "view", "time_interval")
 
@@ -75,26 +75,25 @@ def replace_interval(
     spark = df.sparkSession
     inside = _inside(key, start, end)
     out = with_month(df.filter(inside), key)
-    months = [year * 100 + month for year, month in months_between(as_date(start), as_date(end))]
+    months = months_between(as_date(start), as_date(end))
     if exists(spark, path):
         old = spark.read.parquet(path)
         edges = F.col(MONTH).isin(month_number(start), month_number(end))
         kept = shared_dir(spark, "kept")
         old.filter(edges & ~inside).write.parquet(kept)
         out = out.unionByName(spark.read.schema(old.schema).parquet(kept))
-    seen = Observation()
-    counts = [F.count_if(F.col(MONTH) == m).alias(str(m)) for m in months]
+    folders = [f"{path.rstrip('/')}/{MONTH}={year * 100 + month}" for year, month in months]
+    before = {folder: child_names(spark, folder) for folder in folders}
     (
-        by_month(out.observe(seen, *counts))
+        by_month(out)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH)
         .parquet(path)
     )
-    rows = seen.get
-    for month in months:
-        folder = f"{path.rstrip('/')}/{MONTH}={month}"
-        if not rows.get(str(month)) and exists(spark, folder):
+    # File names are new in every write, so a folder that still has its old ones received no rows.
+    for folder, names in before.items():
+        if names and child_names(spark, folder) == names:
             remove(spark, folder)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,7 +114,7 @@ def read_union_by_name(spark: SparkSession, paths: str | Sequence[str]) -> DataF
     paths = [paths] if isinstance(paths, str) else list(paths)
     try:
         return spark.read.option("mergeSchema", True).parquet(*paths)
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:  # Spark raises one or the other here
         if "CANNOT_MERGE" not in str(error):
             raise
     groups = _by_schema(spark, _folders(spark, paths))

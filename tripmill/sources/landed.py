@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,18 +12,33 @@ from tripmill.storage import child_names, exists
 def read_json_pages(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """Rows of ``root/page=N/*.json``, each file a JSON array, from page 1 to the first empty one.
 
-    A page that is missing or holds ``[]`` ends the read: the last page is the lowest number above
-    zero whose successor has no rows. That is an anti-join of the numbers, not a walk over pages, and the
-    cut prunes the folders of later pages when it is known.
+    A page that is missing or holds ``[]`` ends the read. Every page with rows marks itself as present
+    and its successor as expected; the lowest number that is expected and not present is where to
+    stop. That takes one pass and no walk over the pages, and when it is known, the folders from there
+    on are not opened.
     """
     rows = spark.read.schema(
         T.StructType([*schema.fields, T.StructField("page", T.IntegerType())])
     ).json(root, multiLine=True)
-    numbers = rows.select("page").distinct()
-    first = spark.range(1).select(F.lit(1).alias("page"))
-    expected = numbers.select((F.col("page") + 1).alias("page")).filter("page > 1").union(first)
-    cut = expected.join(numbers, "page", "left_anti").agg(F.min("page")).scalar()
-    return rows.filter((F.col("page") >= 1) & (F.col("page") < cut))
+    page = F.col("page")
+
+    def mark(number: Column, present: bool) -> Column:
+        return F.struct(number.alias("page"), F.lit(present).alias("present"))
+
+    marks = F.array(mark(page, True), mark(page + 1, False))
+    first = spark.range(1).select(F.lit(1).alias("page"), F.lit(False).alias("present"))
+    stop = (
+        rows.select("page")
+        .distinct()
+        .select(F.inline(marks))
+        .union(first)
+        .groupBy("page")
+        .agg(F.bool_or("present").alias("present"))
+        .filter((page >= 1) & ~F.col("present"))
+        .agg(F.min("page"))
+        .scalar()
+    )
+    return rows.filter((page >= 1) & (page < stop))
 
 
 def read_latest_snapshot(spark: SparkSession, root: str, table: str | None = None) -> DataFrame:

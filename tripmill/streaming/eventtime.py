@@ -110,8 +110,9 @@ def _batch_sessions(
     ordered = Window.partitionBy(*keys).orderBy("_first")
     before = F.lag("_last").over(ordered)
     opens = F.when(before.isNull() | (F.col("_first") > before + wait), 1).otherwise(0)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = cells.drop("_cell").withColumn("_opens", opens)
-    numbered = numbered.withColumn("_session", F.sum("_opens").over(ordered))
+    numbered = numbered.withColumn("_session", F.sum("_opens").over(so_far))
     return (
         numbered.groupBy(*keys, "_session")
         .agg(
