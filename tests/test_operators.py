@@ -123,6 +123,11 @@ def test_zone_counts_equal_join_then_count(spark, zones, rows):
     assert ("North", 50) in rows(joined) and (None, 5) in rows(joined) and ("South", 8) in rows(joined)
 
 
+def test_zone_counts_when_key_and_name_differ_only_in_case(spark, zones, rows):
+    trips = spark.createDataFrame([(1,), (1,), (3,)], "zone int")
+    assert rows(op.count_by_zone(trips, zones, "zone")) == [("North", 2), ("South", 1)]
+
+
 def test_payment_names(spark, rows):
     trips = spark.createDataFrame([(1,), (6,), (9,), (None,)], "payment_type int")
     assert rows(op.with_payment_name(trips, "payment_type")) == [

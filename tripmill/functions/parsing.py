@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_DIGITS = r"[0-9]+(_[0-9]+)*"
+# Unicode white space and the control characters that scripting languages strip as well.
+_SPACE = r"[\s\x1c-\x1f]"
+_EDGE_SPACE = rf"(?U)^{_SPACE}+|{_SPACE}+$"
+_DIGITS = "[0-9]+(?:_[0-9]+)*"
 # Decimal notation as scripting languages read it, single underscores between digits included.
-_DECIMAL = rf"^[+-]?({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})(e[+-]?{_DIGITS})?$"
+_CODE = rf"(?iU)^{_SPACE}*([+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?){_SPACE}*$"
 _PLAIN_DECIMAL = r"(?i)^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$"
 _INFINITY = r"(?i)^[+-]?inf(inity)?$"
 _WHOLE = r"^[+-]?[0-9]+(\.0*)?$"
@@ -46,8 +48,10 @@ def payment_method(c: str) -> Column:
     Words come before codes, and card words before cash words. A code is cut to its whole part:
     1 is Credit, 2 is Cash. NULL, blank and everything unread is Other.
     """
-    text = same_text(F.col(c).cast("string"))
-    code = F.when(text.rlike(_DECIMAL), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    raw = F.col(c).cast("string")
+    text = F.lower(raw)
+    digits = F.replace(F.regexp_extract(raw, _CODE, 1), F.lit("_"), F.lit(""))
+    code = F.when(raw.rlike(_CODE), digits.try_cast("double"))
     return (
         F.when(text.contains("credit") | text.contains("card"), "Credit")
         .when(text.contains("cash"), "Cash")

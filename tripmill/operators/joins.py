@@ -31,8 +31,11 @@ def with_zone(
 ) -> DataFrame:
     """Left join of trips with the zone lookup; trips without a match keep NULL."""
     names = [zone_name] if isinstance(zone_name, str) else list(zone_name)
+    clash = {n.lower() for n in names} & {c.lower() for c in trips.columns}
+    if clash:
+        raise ValueError(f"trips already have {', '.join(sorted(clash))}")
     zones = _dimension(zones, zone_key, names)
-    return trips.join(zones, F.col(key).try_cast("bigint") == zones[_KEY], "left").drop(_KEY)
+    return trips.join(zones, trips[key].try_cast("bigint") == zones[_KEY], "left").drop(_KEY)
 
 
 def count_by_zone(
@@ -47,9 +50,9 @@ def count_by_zone(
 
     Trips are counted per key first, so the join handles one row per key and a hot key is one row.
     """
-    per_key = trips.groupBy(F.col(key)).agg(F.count(F.lit(1)).alias(name))
+    per_key = trips.groupBy(trips[key].alias("_key")).agg(F.count(F.lit(1)).alias(name))
     return (
-        with_zone(per_key, zones, key, zone_key, zone_name)
+        with_zone(per_key, zones, "_key", zone_key, zone_name)
         .groupBy(zone_name)
         .agg(F.sum(name).alias(name))
     )

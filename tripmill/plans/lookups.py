@@ -49,6 +49,26 @@ def least_frequent_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.bottom_n(counts, "trips", 1, ["n_name"])
 
 
+@query(
+    "SELECT r_name AS borough, count(*) AS trips FROM lineitem "
+    "LEFT JOIN nation ON CAST(l_quantity AS BIGINT) = n_nationkey "
+    "LEFT JOIN region ON r_regionkey = n_regionkey GROUP BY ALL"
+)
+def borough_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup is a CSV with declared types."""
+    path = shared_dir(spark, "zones")
+    nations, regions = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"]).select(
+        F.col("n_nationkey").alias("LocationID"),
+        F.col("r_name").alias("Borough"),
+        F.col("n_name").alias("Zone"),
+        F.lit("Zone").alias("service_zone"),
+    ).write.csv(path, header=True)
+    trips = table(spark, sf_dir, "lineitem", ["l_quantity"])
+    counts = op.count_by_zone(trips, read_zones(spark, path), "l_quantity", zone_name="Borough")
+    return counts.withColumnRenamed("Borough", "borough")
+
+
 @query(
     "SELECT CASE l_linenumber WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge' "
     "WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided' END AS payment_name, "

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.session import apply_defaults
+from tripmill.sources import read_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,5 +35,4 @@ def query(sql: str | None = None):
 def table(
     spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    return read_trips(spark, f"{sf_dir}/{name}.parquet", columns)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tripmill import functions as X
 from tripmill import operators as op
 from tripmill import sinks, sources
+from tripmill.plans import taxi
 from tripmill.plans.registry import query, table
 from tripmill.session import shared_dir
 from tripmill.storage import child_names, rename
@@ -92,7 +93,9 @@ def typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
             T.StructField("l_quantity", T.FloatType()),
         ]
     )
-    sinks.materialize(sources.load_typed(table(spark, sf_dir, "lineitem"), narrow), path, "append")
+    loaded = sources.load_typed(table(spark, sf_dir, "lineitem"), narrow)
+    op.check_schema(loaded, narrow, enforce=True)
+    sinks.materialize(loaded, path, "append")
     return spark.read.parquet(path)
 
 
@@ -273,6 +276,33 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_latest_snapshot(spark, root, "orders")
 
 
+@query(
+    "SELECT trip_date, round(total_amt, 2) AS total_amt, round(tip_amt, 2) AS tip_amt, trip_count, "
+    "round(avg(total_amt) OVER seven, 4) AS revenue_ma7, round(avg(tip_amt) OVER seven, 4) AS tips_ma7 "
+    "FROM (SELECT CAST(ts AS DATE) AS trip_date, sum(value) AS total_amt, "
+    "sum(CASE WHEN event_type = 'click' THEN value ELSE 0 END) AS tip_amt, count(*) AS trip_count "
+    "FROM events WHERE event_type NOT IN ('signup', 'error') GROUP BY 1) "
+    "WINDOW seven AS (ORDER BY trip_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
+)
+def payment_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the newest snapshot of raw text to days with moving averages."""
+    root = shared_dir(spark, "payments")
+    kind, value = F.col("event_type"), F.col("value").cast("string")
+    table(spark, sf_dir, "events").select(
+        F.when(kind == "signup", "soon").otherwise(F.col("ts").cast("string"))
+        .alias("trip_pickup_date_time"),
+        kind.alias("payment_type"),
+        F.when(kind == "error", "?").otherwise(value).alias("total_amt"),
+        F.when(kind == "click", value).otherwise("none").alias("tip_amt"),
+    ).write.parquet(f"{root}/taxi_20240131/taxi_data")
+    rows = taxi.load_payments(spark, root, max_rows=2**62, seed=7)
+    daily = taxi.payment_overview(rows).daily.select(
+        "trip_date", "total_amt", "tip_amt", "trip_count", "revenue_ma7", "tips_ma7"
+    )
+    digits = {"total_amt": 2, "tip_amt": 2, "revenue_ma7": 4, "tips_ma7": 4}
+    return daily.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
 # ---- write strategies --------------------------------------------------------------------------
 
 

@@ -13,21 +13,27 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tripmill.session import apply_defaults
+
 BatchSink = Callable[[DataFrame, int], None]
 
 _WRITTEN = "_written_at"
 
 
-def append_sink(path: str, stream: str = "main") -> BatchSink:
-    """Each row once, without a key."""
+def append_sink(path: str, stream: str = "main", files: int | None = None) -> BatchSink:
+    """Each row once, without a key.
+
+    A batch has a file per task of its last shuffle; ``files`` asks for fewer where batches are small.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/stream={stream}/batch_id={batch_id}")
+        rows = batch.repartition(files) if files else batch
+        rows.write.mode("overwrite").parquet(f"{path}/stream={stream}/batch_id={batch_id}")
 
     return write
 
 
-def upsert_sink(path: str, stream: str = "main") -> BatchSink:
+def upsert_sink(path: str, stream: str = "main", files: int | None = None) -> BatchSink:
     """A later row replaces an earlier one with the same key, which ``read_upserted`` resolves.
 
     A batch costs what the batch holds, whatever the size of the table.
@@ -35,7 +41,7 @@ def upsert_sink(path: str, stream: str = "main") -> BatchSink:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stamped = batch.withColumn(_WRITTEN, F.current_timestamp())
-        append_sink(path, stream)(stamped, batch_id)
+        append_sink(path, stream, files)(stamped, batch_id)
 
     return write
 
@@ -69,8 +75,10 @@ def run(
     """Start the stream. Without ``every`` it takes all input there is and stops by itself.
 
     In append mode a window leaves once, when the watermark has passed its end; rows later than that
-    are dropped. ``checkpoint`` is a shared folder and stands for the consumer's position.
+    are dropped. ``checkpoint`` is a shared folder and stands for the consumer's position. The package's
+    session settings are applied, among them the merge of sessions before the shuffle.
     """
+    apply_defaults(stream.sparkSession)
     writer = (
         stream.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
