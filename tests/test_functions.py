@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 
 import pytest
@@ -64,6 +65,16 @@ def test_payment_method(spark):
     assert got == METHODS
 
 
+def test_payment_method_of_random_text(spark):
+    draw = random.Random(11)
+    pieces = ["1", "2", "0", "9", ".", "e", "E", "+", "-", "_", " ", "\t", "\u2003", "\x1d", "cash",
+              "card", "CREDIT", "nan", "inf", "d", "x", "\n"]
+    texts = {"".join(draw.choices(pieces, k=draw.randrange(1, 6))) for _ in range(4_000)}
+    df = spark.createDataFrame([(t,) for t in texts], "raw string")
+    got = {r.raw: r.m for r in df.select("raw", X.payment_method("raw").alias("m")).collect()}
+    assert {t: m for t, m in got.items() if m != _scripted(t)} == {}
+
+
 def test_payment_method_of_numbers(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (5.0,), (None,)], "raw double")
     got = [r.m for r in df.select(X.payment_method("raw").alias("m")).collect()]

@@ -140,6 +140,14 @@ def test_shared_dir_is_the_clusters(spark):
     assert a != b and a.startswith(f"{parent}/x-")
 
 
+def test_no_local_folder_on_a_cluster():
+    class Session:
+        conf = {"spark.master": "yarn"}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session, "x")
+
+
 def test_publish_appends_json_lines(spark, tmp_path):
     messages = spark.createDataFrame([('{"n":1}',), ('{"n":2}',)], "value string")
     sinks.publish_json(messages, f"{tmp_path}/topic")

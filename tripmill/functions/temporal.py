@@ -37,4 +37,4 @@ def parse_time(c: str, fmt: str | None = None, zone_free: bool = True) -> Column
     if fmt is None:
         return F.col(c).try_cast("timestamp_ntz" if zone_free else "timestamp")
     parsed = F.try_to_timestamp(F.col(c), F.lit(fmt))
-    return parsed.cast("timestamp_ntz") if zone_free else parsed
+    return parsed.cast("timestamp_ntz" if zone_free else "timestamp")

@@ -60,8 +60,7 @@ def count_by_zone(
 
 def with_payment_name(trips: DataFrame, code: str, name: str = "payment_name") -> DataFrame:
     """Left join with the payment lookup, a fixed table of six rows and therefore safe to broadcast."""
-    lookup = trips.sparkSession.createDataFrame(
-        list(PAYMENT_NAMES.items()), f"_code bigint, `{name}` string"
-    )
+    values = ", ".join(f"({number}L, '{text}')" for number, text in PAYMENT_NAMES.items())
+    lookup = trips.sparkSession.sql(f"SELECT * FROM VALUES {values} AS names(_code, `{name}`)")
     matched = F.col(code).try_cast("bigint") == lookup["_code"]
     return trips.join(F.broadcast(lookup), matched, "left").drop("_code")

@@ -76,6 +76,7 @@ def replace_interval(
     inside = _inside(key, start, end)
     out = with_month(df.filter(inside), key)
     months = months_between(as_date(start), as_date(end))
+    kept = None
     if exists(spark, path):
         old = spark.read.parquet(path)
         edges = F.col(MONTH).isin(month_number(start), month_number(end))
@@ -84,13 +85,17 @@ def replace_interval(
         out = out.unionByName(spark.read.schema(old.schema).parquet(kept))
     folders = [f"{path.rstrip('/')}/{MONTH}={year * 100 + month}" for year, month in months]
     before = {folder: child_names(spark, folder) for folder in folders}
-    (
-        by_month(out)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
+    try:
+        (
+            by_month(out)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MONTH)
+            .parquet(path)
+        )
+    except Exception as error:
+        error.add_note(f"rows of {path} outside the interval are kept in {kept}")
+        raise
     # File names are new in every write, so a folder that still has its old ones received no rows.
     for folder, names in before.items():
         if names and child_names(spark, folder) == names:
