@@ -134,6 +134,16 @@ def test_convert_finishes_what_is_missing(spark, tmp_path):
     assert got == [(201901, "B1", 10), (201901, "B1", 11), (201902, "B2", 20)]
 
 
+def test_convert_months_with_other_headers(spark, tmp_path):
+    landed, target = tmp_path / "csv", str(tmp_path / "parquet")
+    landed.mkdir()
+    for month, text in [(1, "base,n\nB1,10\n"), (2, "n,base\n20,B2\n"), (3, "base,n,flag\nB3,30,x\n")]:
+        (landed / f"fhv_tripdata_2019-{month:02d}.csv").write_text(text)
+    sinks.convert_months(spark, str(landed), target, "fhv", [(2019, m) for m in range(1, 13)])
+    got = spark.read.option("mergeSchema", True).parquet(target).orderBy("n").collect()
+    assert [(r.base, r.n, r.flag) for r in got] == [("B1", 10, None), ("B2", 20, None), ("B3", 30, "x")]
+
+
 def test_shared_dir_is_the_clusters(spark):
     parent = spark.conf.get("spark.checkpoint.dir")
     a, b = shared_dir(spark, "x"), shared_dir(spark, "x")

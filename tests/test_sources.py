@@ -38,6 +38,18 @@ def test_typed_csv_strict_and_lenient(spark, tmp_path):
         sources.read_trips_csv(spark, path).collect()
 
 
+def test_typed_csv_goes_by_header_names(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    path = tmp_path / "a" / "1.csv"
+    path.write_text("tip_amount,unknown,vendorid\n1.5,x,2.0\n")
+    row = sources.read_trips_csv(spark, str(path)).first()
+    assert (row.VendorID, row.tip_amount, row.trip_distance) == (2, 1.5, None)
+    (tmp_path / "a" / "2.csv").write_text("vendorid,tip_amount,unknown\n2,1.5,x\n")
+    for read in (sources.read_trips_csv, sources.read_csv_inferred):
+        with pytest.raises(Exception, match="CSV header"):
+            read(spark, str(tmp_path / "a")).collect()
+
+
 def test_zones(spark, tmp_path):
     path = tmp_path / "zones.csv"
     path.write_text('"LocationID","Borough","Zone","service_zone"\n1,"EWR","Newark Airport","EWR"\n')

@@ -121,7 +121,7 @@ def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Created twice; the second run replaces the first."""
     orders = table(spark, sf_dir, "orders")
     where = shared_dir(spark, "warehouse")
-    sinks.replace_table(orders.limit(0), "orders_loaded", where)
+    sinks.replace_table(orders.filter("o_orderstatus = 'F'"), "orders_loaded", where)
     return _priced(sinks.replace_table(orders, "orders_loaded", where))
 
 

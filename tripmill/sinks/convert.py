@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.sinks.files import MONTH, by_month
-from tripmill.sources.files import read_csv_inferred, read_trips_csv
+from tripmill.sources.files import csv_header, read_csv_inferred, read_trips_csv
 from tripmill.sources.months import month_name
 from tripmill.storage import child_names
 
@@ -25,9 +26,9 @@ def convert_months(
     """Convert the months of ``kind`` that ``target`` lacks; returns their numbers, 201903 for March 2019.
 
     Each month becomes the folder ``target/year_month=N``. The test looks for the output, so a run
-    stopped half way is finished by the next: a month's folder appears by one rename when the job
-    commits. All missing months are one Spark job, a gzip file per task. Types are declared by
-    ``schema`` or found from the data.
+    stopped half way is finished by the next: a month's folder appears by one rename when its job
+    commits. Missing months with equal header lines are one Spark job, a gzip file per task. Types are
+    declared by ``schema`` or found from the data.
     """
     landed = set(child_names(spark, source))
     done = set(child_names(spark, target))
@@ -38,11 +39,14 @@ def convert_months(
         found = next((n for n in names if n in landed), None)
         if found and f"{MONTH}={number}" not in done:
             todo[number] = f"{source.rstrip('/')}/{found}"
-    if not todo:
-        return []
-    paths = list(todo.values())
-    df = read_trips_csv(spark, paths, schema) if schema else read_csv_inferred(spark, paths)
-    _write(df, kind, target)
+    with ThreadPoolExecutor(16) as pool:
+        headers = pool.map(lambda path: tuple(csv_header(spark, path)), todo.values())
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for path, header in zip(todo.values(), headers):
+        alike.setdefault(header, []).append(path)
+    for paths in alike.values():
+        df = read_trips_csv(spark, paths, schema) if schema else read_csv_inferred(spark, paths)
+        _write(df, kind, target)
     return sorted(todo)
 
 

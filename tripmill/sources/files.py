@@ -27,6 +27,11 @@ def read_trips(
     return df.select(*columns) if columns else df
 
 
+def csv_header(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """Column names in the header line of the (first) file."""
+    return spark.read.csv(paths if isinstance(paths, str) else list(paths), header=True).columns
+
+
 def read_trips_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -34,21 +39,29 @@ def read_trips_csv(
     strict: bool = True,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Typed CSV with a header line, plain or gzip.
+    """Typed CSV, plain or gzip. Columns are found by the names in the header line.
 
-    Whole numbers may be written ``1`` or ``1.0``. A value that does not fit its type fails the read,
-    or is NULL if not ``strict``. A gzip file is read by one task; ``partitions`` spreads its rows
-    for the work that follows.
+    All files must have the same header, else the read fails; a declared column that is not in it is
+    NULL. Whole numbers may be written ``1`` or ``1.0``. A value that does not fit its type fails the
+    read, or is NULL if not ``strict``. A gzip file is read by one task; ``partitions`` spreads its
+    rows for the work that follows.
     """
-    whole = {f.name for f in schema.fields if isinstance(f.dataType, T.LongType)}
+    paths = paths if isinstance(paths, str) else list(paths)
+    declared = {f.name.lower(): f.dataType for f in schema.fields}
+    names = csv_header(spark, paths) or schema.names
+    kinds = {n: declared.get(n.lower(), T.StringType()) for n in names}
+    whole = [n for n, kind in kinds.items() if isinstance(kind, T.LongType)]
     raw = T.StructType(
-        [T.StructField(f.name, T.StringType() if f.name in whole else f.dataType) for f in schema]
+        [T.StructField(n, T.StringType() if n in whole else kind) for n, kind in kinds.items()]
     )
     reader = spark.read.schema(raw).options(
-        header=True, timestampNTZFormat=_CSV_TIME, mode="FAILFAST" if strict else "PERMISSIVE"
+        header=True,
+        enforceSchema=False,
+        timestampNTZFormat=_CSV_TIME,
+        mode="FAILFAST" if strict else "PERMISSIVE",
     )
-    df = reader.csv(paths if isinstance(paths, str) else list(paths))
-    df = df.withColumns({c: whole_number(c, strict) for c in whole}) if whole else df
+    df = reader.csv(paths).withColumns({n: whole_number(n, strict) for n in whole})
+    df = keep(df, schema)
     return df.repartition(partitions) if partitions else df
 
 
@@ -60,9 +73,12 @@ def read_zones(spark: SparkSession, path: str, raw: bool = False) -> DataFrame:
 
 
 def read_csv_inferred(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """CSV with types found from the data, which costs one more pass over it."""
+    """CSV with types found from the data, which costs one more pass over it.
+
+    All files must have the same header line, else the read fails.
+    """
     paths = paths if isinstance(paths, str) else list(paths)
-    return spark.read.csv(paths, header=True, inferSchema=True)
+    return spark.read.csv(paths, header=True, inferSchema=True, enforceSchema=False)
 
 
 # Whole and fractional numbers in order of width, for columns typed differently from file to file.
