@@ -5,6 +5,8 @@ Every call writes the whole test table to a folder of its own below the shared f
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,24 +15,12 @@ from tripmill import functions as X
 from tripmill import operators as op
 from tripmill import sinks, sources
 from tripmill.plans import taxi
-from tripmill.plans.registry import query, table
+from tripmill.plans.registry import SCHEMAS, query, table
 from tripmill.session import shared_dir
 from tripmill.storage import child_names, rename
 
 # ---- files -------------------------------------------------------------------------------------
 
-_ORDERS = T.StructType(
-    [
-        T.StructField("o_orderkey", T.LongType()),
-        T.StructField("o_custkey", T.LongType()),
-        T.StructField("o_orderstatus", T.StringType()),
-        T.StructField("o_totalprice", T.DoubleType()),
-        T.StructField("o_orderdate", T.TimestampNTZType()),
-        T.StructField("o_orderpriority", T.StringType()),
-    ]
-)
-
-
 _CSV = {"header": "true", "compression": "gzip", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
 
 
@@ -42,7 +32,7 @@ def _as_csv(df: DataFrame, path: str) -> None:
 def csv_typed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "orders-csv")
     _as_csv(table(spark, sf_dir, "orders"), path)
-    return sources.read_trips_csv(spark, path, _ORDERS)
+    return sources.read_trips_csv(spark, path, T.StructType.fromDDL(SCHEMAS["orders"]))
 
 
 @query(
@@ -176,7 +166,7 @@ _MONTH_TEXT = "date_format(o_orderdate, 'yyyy-MM')"
 def _land_months(df: DataFrame, root: str, name: str, fmt: str) -> None:
     """One file name per month, by one job and a rename of each folder."""
     named = df.withColumn("name", F.expr(name))
-    writer = named.write.partitionBy("name")
+    writer = named.hint("rebalance", "name").write.partitionBy("name")
     if fmt == "csv":
         writer.options(**_CSV).csv(root)
     else:
@@ -221,8 +211,8 @@ def month_range_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def converted_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gzip CSV months to Parquet in two runs; the second converts only what the first did not."""
     landed, target = shared_dir(spark, "csv-months"), shared_dir(spark, "parquet-months")
-    schema = T.StructType([f for f in _ORDERS.fields if f.name in _CONVERTED])
-    orders = table(spark, sf_dir, "orders", _CONVERTED)
+    schema = T.StructType.fromDDL("o_orderkey bigint, o_totalprice double, o_orderdate timestamp_ntz")
+    orders = table(spark, sf_dir, "orders", schema.names)
     _land_months(orders, landed, f"concat('fhv_tripdata_', {_MONTH_TEXT}, '.csv.gz')", "csv")
     months = sources.months_between("1995-01-01", "2001-12-31")
     sinks.convert_months(spark, landed, target, "fhv", months[:40], schema)
@@ -230,8 +220,6 @@ def converted_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
-_CONVERTED = ["o_orderkey", "o_totalprice", "o_orderdate"]
-
 # ---- landed pages and snapshots ----------------------------------------------------------------
 
 _PAGE_ROWS = 500
@@ -270,9 +258,10 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three snapshots; the newest lacks the table, so the one before it counts."""
     root = shared_dir(spark, "snapshots")
     orders = table(spark, sf_dir, "orders")
-    orders.filter("o_orderstatus = 'F'").write.parquet(f"{root}/data_20240101/orders")
-    orders.write.parquet(f"{root}/data_20240102/orders")
-    table(spark, sf_dir, "nation").write.parquet(f"{root}/data_20240103/nation")
+    filled = orders.filter("o_orderstatus = 'F'")
+    sinks.write_snapshot(filled, root, "orders", at=datetime(2024, 1, 1))
+    sinks.write_snapshot(orders, root, "orders", at=datetime(2024, 1, 2))
+    sinks.write_snapshot(table(spark, sf_dir, "nation"), root, "nation", at=datetime(2024, 1, 3))
     return sources.read_latest_snapshot(spark, root, "orders")
 
 
@@ -288,13 +277,14 @@ def payment_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the newest snapshot of raw text to days with moving averages."""
     root = shared_dir(spark, "payments")
     kind, value = F.col("event_type"), F.col("value").cast("string")
-    table(spark, sf_dir, "events").select(
+    raw = table(spark, sf_dir, "events").select(
         F.when(kind == "signup", "soon").otherwise(F.col("ts").cast("string"))
         .alias("trip_pickup_date_time"),
         kind.alias("payment_type"),
         F.when(kind == "error", "?").otherwise(value).alias("total_amt"),
         F.when(kind == "click", value).otherwise("none").alias("tip_amt"),
-    ).write.parquet(f"{root}/taxi_20240131/taxi_data")
+    )
+    sinks.write_snapshot(raw, root, "taxi_data", "taxi")
     rows = taxi.load_payments(spark, root, max_rows=2**62, seed=7)
     daily = taxi.payment_overview(rows).daily.select(
         "trip_date", "total_amt", "tip_amt", "trip_count", "revenue_ma7", "tips_ma7"

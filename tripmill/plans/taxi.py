@@ -130,6 +130,14 @@ class PaymentOverview(NamedTuple):
     daily: DataFrame
 
 
+def load_pages(
+    spark: SparkSession, pages: str, root: str, table: str = "taxi_data", name: str = "taxi"
+) -> str:
+    """Landed API pages into a new snapshot; returns its path."""
+    rows = sources.read_json_pages(spark, pages).drop("page")
+    return sinks.write_snapshot(rows, root, table, name)
+
+
 def load_payments(
     spark: SparkSession, root: str, table: str = "taxi_data", max_rows: int | None = None,
     seed: int | None = None,

@@ -9,6 +9,7 @@ from tripmill.sinks.files import (
     write_jdbc,
     write_layout,
     write_n_files,
+    write_snapshot,
 )
 from tripmill.sinks.materialize import materialize, read_months, replace_interval, replace_table
 
@@ -25,4 +26,5 @@ __all__ = [
     "write_jdbc",
     "write_layout",
     "write_n_files",
+    "write_snapshot",
 ]

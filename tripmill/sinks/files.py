@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +77,16 @@ def write_day(df: DataFrame, root: str, day: date | str | int) -> str:
     return path
 
 
+def write_snapshot(
+    df: DataFrame, root: str, table: str, name: str = "data", at: datetime | None = None
+) -> str:
+    """Append to the table of the snapshot ``name_<time>``; snapshots sort by name in order of time."""
+    at = at or datetime.now(timezone.utc)
+    path = f"{root.rstrip('/')}/{name}_{at:%Y%m%d%H%M%S}/{table}"
+    df.write.mode("append").parquet(path)
+    return path
+
+
 def publish_json(
     messages: DataFrame, path: str | None = None, kafka: Mapping[str, str] | None = None
 ) -> None:

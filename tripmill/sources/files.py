@@ -19,11 +19,18 @@ _CSV_TIME = "yyyy-MM-dd HH:mm:ss"
 
 
 def read_trips(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Sequence[str] | None = None,
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """Parquet files; only ``columns`` are read from disk if given."""
+    """Parquet files; only ``columns`` are read from disk if given.
+
+    With a declared ``schema`` no footer is opened before the query runs.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.parquet(*paths)
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.parquet(*paths)
     return df.select(*columns) if columns else df
 
 

@@ -9,17 +9,22 @@ from pyspark.sql import types as T
 from tripmill.storage import child_names, exists
 
 
-def read_json_pages(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+def read_json_pages(
+    spark: SparkSession, root: str, schema: T.StructType | None = None
+) -> DataFrame:
     """Rows of ``root/page=N/*.json``, each file a JSON array, from page 1 to the first empty one.
 
     A page that is missing or holds ``[]`` ends the read. Every page with rows marks itself as present
     and its successor as expected; the lowest number that is expected and not present is where to
     stop. That takes one pass and no walk over the pages, and when it is known, the folders from there
-    on are not opened.
+    on are not opened. Without ``schema`` the types are found from the data, by one more pass.
     """
-    rows = spark.read.schema(
-        T.StructType([*schema.fields, T.StructField("page", T.IntegerType())])
-    ).json(root, multiLine=True)
+    reader = spark.read
+    if schema:
+        reader = reader.schema(
+            T.StructType([*schema.fields, T.StructField("page", T.IntegerType())])
+        )
+    rows = reader.json(root, multiLine=True)
     page = F.col("page")
 
     def mark(number: Column, present: bool) -> Column:

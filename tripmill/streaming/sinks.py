@@ -2,7 +2,8 @@
 
 Every batch owns one folder, ``stream=<name>/batch_id=<n>``, and overwrites it when the engine runs the
 batch again. Nothing written by an earlier batch is touched, so a lost executor or driver can neither
-double nor lose rows. Several streams may share a table under different names.
+double nor lose rows. Several streams may share a table under different names. A stream that starts over
+with a new checkpoint counts its batches from zero again and so needs a new name.
 """
 
 from __future__ import annotations
