@@ -124,7 +124,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": SF_DIR.rstrip("/").rsplit("sf", 1)[-1],
+                "sf": float(SF_DIR.rstrip("/").rsplit("sf", 1)[-1]),
                 "cpus": CPUS,
                 "published_records_per_sec": round(rows / seconds["publish"]),
                 "bytes_of_files_read": opened,

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -9,7 +10,11 @@ from tripmill import functions as X
 from tripmill import streaming as st
 
 MESSAGE = T.StructType(
-    [T.StructField("at", T.StringType()), T.StructField("zone", T.IntegerType()), T.StructField("tip", T.DoubleType())]
+    [
+        T.StructField("at", T.StringType()),
+        T.StructField("zone", T.IntegerType()),
+        T.StructField("tip", T.DoubleType()),
+    ]
 )
 
 
@@ -24,8 +29,6 @@ class Topic:
     def send(self, *rows):
         path = self.root / f"{self.files:03d}.json"
         path.write_text("".join(json.dumps(dict(zip(("at", "zone", "tip"), r))) + "\n" for r in rows))
-        import os
-
         os.utime(path, (1_700_000_000 + self.files,) * 2)
         self.files += 1
 
@@ -61,13 +64,15 @@ def test_windows_close_once_and_late_rows_are_dropped(spark, topic):
     ]
 
 
-def test_restart_goes_on_where_it_stopped(spark, topic):
+@pytest.mark.parametrize("own_sink", [True, False])
+def test_restart_goes_on_where_it_stopped(spark, topic, own_sink):
     topic.send((at("08:00:01"), 1, 1.0), (at("08:10:00"), 1, 1.0))
 
     def go():
         counts = st.tumbling(topic.stream(spark), "event_time", "5 minutes", ["zone"])
-        st.run(counts, st.append_sink(topic.out), topic.checkpoint)
-        return _counts(st.read_appended(spark, topic.out))
+        st.run(counts, st.append_sink(topic.out) if own_sink else topic.out, topic.checkpoint)
+        read = st.read_appended(spark, topic.out) if own_sink else spark.read.parquet(topic.out)
+        return _counts(read)
 
     assert go() == [("08:00", 1, 1)]
     assert go() == [("08:00", 1, 1)]

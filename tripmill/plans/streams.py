@@ -73,8 +73,8 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         "1 hour",
         aggs={"total_tip_amount": ("sum", "value")},
     )
-    st.run(tips, st.append_sink(out), shared_dir(spark, "checkpoint"))
-    rows = _zone_free(st.read_appended(spark, out), "window_start", "window_end")
+    st.run(tips, out, shared_dir(spark, "checkpoint"))
+    rows = _zone_free(spark.read.parquet(out), "window_start", "window_end")
     return rows.withColumn("total_tip_amount", F.round("total_tip_amount", 2))
 
 

@@ -7,10 +7,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job of this package wants, whatever the cluster's size.
-DEFAULTS = {
-    # Times carry no zone in the data; one fixed zone keeps the stream boundary exact.
-    "spark.sql.session.timeZone": "UTC",
+# Times carry no zone in the data; one fixed zone keeps the stream boundary exact.
+ZONE = {"spark.sql.session.timeZone": "UTC"}
+
+# Settings that jobs of this package run best with, whatever the cluster's size.
+PREFERRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -39,7 +40,7 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULTS)
+    settings = {**ZONE, **PREFERRED}
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
@@ -48,11 +49,19 @@ def build_session(
     return builder.getOrCreate()
 
 
+def prefer(spark: SparkSession) -> SparkSession:
+    """Set what the package prefers on a session built elsewhere, where that left it open."""
+    for key, value in PREFERRED.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    return spark
+
+
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Set the package's settings on a session built elsewhere. All of them may change at run time."""
-    for key, value in DEFAULTS.items():
+    """``prefer``, and the fixed time zone. All settings may change at run time."""
+    for key, value in ZONE.items():
         spark.conf.set(key, value)
-    return spark
+    return prefer(spark)
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:

@@ -8,7 +8,6 @@ from concurrent.futures import ThreadPoolExecutor
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.functions import whole_number

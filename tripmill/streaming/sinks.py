@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripmill.session import apply_defaults
+from tripmill.session import prefer
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -68,23 +68,25 @@ def read_upserted(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFr
 
 def run(
     stream: DataFrame,
-    sink: BatchSink,
+    sink: BatchSink | str,
     checkpoint: str,
     output_mode: str = "append",
     every: str | None = None,
 ) -> StreamingQuery:
     """Start the stream. Without ``every`` it takes all input there is and stops by itself.
 
-    In append mode a window leaves once, when the watermark has passed its end; rows later than that
-    are dropped. ``checkpoint`` is a shared folder and stands for the consumer's position. The package's
-    session settings are applied, among them the merge of sessions before the shuffle.
+    A path as ``sink`` is Spark's own Parquet sink, which also writes each row once and is read with
+    ``spark.read.parquet``; it knows append mode only. In append mode a window leaves once, when the
+    watermark has passed its end; rows later than that are dropped. ``checkpoint`` is a shared folder
+    and stands for the consumer's position. Settings that the session leaves open are set as the
+    package prefers, among them the merge of sessions before the shuffle.
     """
-    apply_defaults(stream.sparkSession)
-    writer = (
-        stream.writeStream.outputMode(output_mode)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(sink)
-    )
+    prefer(stream.sparkSession)
+    writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+    if isinstance(sink, str):
+        writer = writer.format("parquet").option("path", sink)
+    else:
+        writer = writer.foreachBatch(sink)
     if every:
         return writer.trigger(processingTime=every).start()
     query = writer.trigger(availableNow=True).start()
