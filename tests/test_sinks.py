@@ -134,6 +134,19 @@ def test_convert_finishes_what_is_missing(spark, tmp_path):
     assert got == [(201901, "B1", 10), (201901, "B1", 11), (201902, "B2", 20)]
 
 
+def test_convert_repeats_a_month_without_its_mark(spark, tmp_path):
+    landed, target = tmp_path / "csv", tmp_path / "parquet"
+    landed.mkdir()
+    for month in (1, 2):
+        (landed / f"fhv_tripdata_2019-{month:02d}.csv").write_text(f"base,n\nB{month},{month}0\n")
+    months = [(2019, 1), (2019, 2)]
+    assert sinks.convert_months(spark, str(landed), str(target), "fhv", months) == [201901, 201902]
+    (target / "_converted" / "201902").unlink()  # as if the run had been stopped while it committed
+    assert sinks.convert_months(spark, str(landed), str(target), "fhv", months) == [201902]
+    got = sorted((r.base, r.n) for r in spark.read.parquet(str(target)).collect())
+    assert got == [("B1", 10), ("B2", 20)]
+
+
 def test_convert_months_with_other_headers(spark, tmp_path):
     landed, target = tmp_path / "csv", str(tmp_path / "parquet")
     landed.mkdir()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +14,7 @@ from pyspark.sql import types as T
 from tripmill.sinks.files import MONTH, by_month
 from tripmill.sources.files import csv_header, read_csv_inferred, read_trips_csv
 from tripmill.sources.months import month_name
-from tripmill.storage import child_names
+from tripmill.storage import child_names, mark
 
 
 def convert_months(
@@ -25,31 +27,53 @@ def convert_months(
 ) -> list[int]:
     """Convert the months of ``kind`` that ``target`` lacks; returns their numbers, 201903 for March 2019.
 
-    Each month becomes the folder ``target/year_month=N``. The test looks for the output, so a run
-    stopped half way is finished by the next: a month's folder appears by one rename when its job
-    commits. Missing months with equal header lines are one Spark job, a gzip file per task. Types are
+    Each month becomes the folder ``target/year_month=N``. It counts as converted when the job that
+    wrote it has committed and left a mark below ``target/_converted``; a run stopped before that is
+    done again by the next, which replaces the folder. All missing months are one Spark job, a gzip
+    file per task; if their header lines turn out to differ, one job per distinct header. Types are
     declared by ``schema`` or found from the data.
     """
     landed = set(child_names(spark, source))
-    done = set(child_names(spark, target))
-    todo = {}
+    marks = f"{target.rstrip('/')}/_converted"
+    done = set(child_names(spark, marks))
+    todo: dict[int, str] = {}
     for year, month in months:
         number = year * 100 + month
         names = [month_name(kind, year, month, s) for s in ("csv.gz", "csv")]
         found = next((n for n in names if n in landed), None)
-        if found and f"{MONTH}={number}" not in done:
+        if found and str(number) not in done:
             todo[number] = f"{source.rstrip('/')}/{found}"
+    if not todo:
+        return []
+    try:
+        _convert(spark, list(todo.values()), target, kind, schema)
+    except (PySparkException, Py4JJavaError) as error:
+        if "CSV header" not in str(error):
+            raise
+        for paths in _alike(spark, list(todo.values())):
+            _convert(spark, paths, target, kind, schema)
     with ThreadPoolExecutor(16) as pool:
-        headers = pool.map(lambda path: tuple(csv_header(spark, path)), todo.values())
-    alike: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(todo.values(), headers):
-        alike.setdefault(header, []).append(path)
-    for paths in alike.values():
-        df = read_trips_csv(spark, paths, schema) if schema else read_csv_inferred(spark, paths)
-        _write(df, kind, target)
+        list(pool.map(lambda number: mark(spark, f"{marks}/{number}"), todo))
     return sorted(todo)
 
 
+def _alike(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """Paths grouped by their header line."""
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda path: tuple(csv_header(spark, path)), paths))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, header in zip(paths, headers):
+        groups.setdefault(header, []).append(path)
+    return list(groups.values())
+
+
+def _convert(
+    spark: SparkSession, paths: Sequence[str], target: str, kind: str, schema: T.StructType | None
+) -> None:
+    df = read_trips_csv(spark, paths, schema) if schema else read_csv_inferred(spark, paths)
+    _write(df, kind, target)
+
+
 def _write(df: DataFrame, kind: str, target: str) -> None:
     name = F.regexp_extract(
         F.input_file_name(), rf"{kind}_tripdata_(\d{{4}}-\d{{2}})\.csv", 1

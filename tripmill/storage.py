@@ -20,6 +20,12 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, target = _path(spark, path)
+    fs.create(target, True).close()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below ``path`` in name order; hidden and marker files left out."""
     fs, target = _path(spark, path)
