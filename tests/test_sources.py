@@ -78,6 +78,13 @@ def test_union_by_name_widens_types_that_differ(spark, tmp_path, rows):
     assert rows(df.select("a", "f", "b")) == [(1, 1.0, "x"), (2, 1.5, "y"), (3, 2.5, "7")]
 
 
+def test_union_by_name_keeps_folder_columns(spark, tmp_path, rows):
+    for month, sql in [(202401, "SELECT 1 a"), (202402, "SELECT 2L a"), (202403, "SELECT 3 a")]:
+        spark.sql(sql).write.parquet(f"{tmp_path}/t/year_month={month}")
+    df = sources.read_union_by_name(spark, f"{tmp_path}/t")
+    assert rows(df.select("year_month", "a")) == [(202401, 1), (202402, 2), (202403, 3)]
+
+
 def test_load_typed_refuses_overflow(spark):
     narrow = T.StructType([T.StructField("n", T.ShortType())])
     df = spark.sql("SELECT 70000L n")

@@ -109,13 +109,25 @@ def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def _parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Folders of one table; names such as ``year_month=202401`` in the path become columns."""
+    parts = paths[0].split("/")
+    named = next((i for i, part in enumerate(parts) if "=" in part), None)
+    reader = spark.read.option("basePath", "/".join(parts[:named])) if named else spark.read
+    return reader.parquet(*paths)
+
+
 def _by_schema(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
-    """Paths grouped by equal Parquet schema, so that a union needs one scan per schema, not per path."""
+    """Paths grouped by equal Parquet schema, so that a union needs one scan per schema, not per path.
+
+    Only paths below the same table folder share a group.
+    """
     with ThreadPoolExecutor(16) as pool:
-        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+        schemas = list(pool.map(lambda path: _parquet(spark, [path]).schema, paths))
+    groups: dict[tuple[str, str], tuple[T.StructType, list[str]]] = {}
     for path, schema in zip(paths, schemas):
-        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+        table = path.partition("=")[0] if "=" in path else ""
+        groups.setdefault((table, schema.json()), (schema, []))[1].append(path)
     return list(groups.values())
 
 
@@ -147,7 +159,7 @@ def read_union_by_name(spark: SparkSession, paths: str | Sequence[str]) -> DataF
             kind = _common_type(known.dataType, f.dataType)
             target[f.name.lower()] = T.StructField(known.name, kind)
     common = T.StructType(list(target.values()))
-    return union_trips(*[keep(spark.read.parquet(*members), common) for _, members in groups])
+    return union_trips(*[keep(_parquet(spark, members), common) for _, members in groups])
 
 
 def load_typed(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
