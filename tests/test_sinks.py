@@ -78,6 +78,7 @@ def test_time_interval_replaces_only_the_interval(spark, trips, tmp_path):
     for _ in range(2):  # a second run changes nothing
         sinks.materialize(new, path, "time_interval", "t", "2024-01-20", "2024-03-03")
         assert _table(spark, path) == [(0, 1.0), (1, 2.0), (2, 2.0), (3, 2.0), (4, 2.0), (5, 1.0)]
+    assert not glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/kept-*")
 
 
 def test_time_interval_removes_a_month_left_empty(spark, trips, tmp_path):
@@ -91,6 +92,15 @@ def test_time_interval_removes_a_month_left_empty(spark, trips, tmp_path):
     assert [i for i, _ in _table(spark, path)] == [0, 1]
 
 
+def test_time_interval_fills_a_table_left_empty(spark, trips, tmp_path):
+    path = f"{tmp_path}/t"
+    sinks.materialize(trips, path, "replace", key="t")
+    sinks.materialize(trips.filter("id < 0"), path, "time_interval", "t", "2024-01-01", "2024-12-31")
+    assert not glob.glob(f"{path}/year_month=*")
+    sinks.materialize(trips, path, "time_interval", "t", "2024-01-01", "2024-12-31")
+    assert len(_table(spark, path)) == 6
+
+
 def test_time_interval_bounds(spark, trips, tmp_path):
     path = f"{tmp_path}/t"
     new = trips.withColumn("v", F.lit(3.0))

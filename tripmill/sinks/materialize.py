@@ -11,7 +11,7 @@ from tripmill.functions.predicates import as_date, month_number
 from tripmill.session import shared_dir
 from tripmill.sinks.files import MONTH, by_month, with_month
 from tripmill.sources.months import months_between
-from tripmill.storage import child_names, exists, remove
+from tripmill.storage import child_names, remove
 
 STRATEGIES = ("append", "replace", "view", "time_interval")
 
@@ -77,7 +77,7 @@ def replace_interval(
     out = with_month(df.filter(inside), key)
     months = months_between(as_date(start), as_date(end))
     kept = None
-    if exists(spark, path):
+    if child_names(spark, path):
         old = spark.read.parquet(path)
         edges = F.col(MONTH).isin(month_number(start), month_number(end))
         kept = shared_dir(spark, "kept")
@@ -100,6 +100,8 @@ def replace_interval(
     for folder, names in before.items():
         if names and child_names(spark, folder) == names:
             remove(spark, folder)
+    if kept:
+        remove(spark, kept)
 
 
 def replace_table(df: DataFrame, name: str, location: str | None = None) -> DataFrame:
