@@ -165,11 +165,8 @@ def _index(words: int, percent: int, kinds: np.ndarray, heavy: int, partitions:
 
 
 def _lists(heavy: int) -> Callable:
-    """Lists with two sets at least, or of frequent shingles: (token, leader, sid, n, pos, leader_n, leader_pos).
-
-    A list's leader is its smallest set, by size and then hash.
-    """
-    names = ["token", "sid", "n", "pos", "leader", "leader_n", "leader_pos", "hot"]
+    """Entries (token, sid, n, pos) of lists with two sets at least, or of frequent shingles."""
+    names = ["token", "sid", "n", "pos"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = [x.as_py() for b in batches for x in b.column("entries")]
@@ -189,14 +186,12 @@ def _lists(heavy: int) -> Callable:
             return
         start = np.flatnonzero(np.concatenate([[True], e["token"][1:] != e["token"][:-1]]))
         size = np.diff(np.concatenate([start, [len(e)]]))
-        lead = np.repeat(start, size)
         hot = (e["token"] >> _U(58)) >= heavy
         keep = np.flatnonzero((np.repeat(size, size) > 1) | hot)
         for at in range(0, len(keep), 100_000):
-            k = keep[at:at + 100_000]
-            x, y = e[k], e[lead[k]]
+            x = e[keep[at:at + 100_000]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(v) for v in (x["token"].view(np.int64), x["sid"], x["n"], x["pos"], y["sid"], y["n"], y["pos"], hot[k])], names)
+                [pa.array(v) for v in (x["token"].view(np.int64), x["sid"], x["n"], x["pos"])], names)
 
     return run
 
@@ -213,6 +208,10 @@ def _may_link(percent: int, n: str, pos: str, other_n: str, other_pos: str) -> C
     return (F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)) & (rest >= _needed(a, b, percent))
 
 
+def _prefix_size(n: Column, percent: int) -> Column:
+    return n - F.ceil(F.lit(percent) * n / F.lit(100)) + 1
+
+
 # ---- overlaps --------------------------------------------------------------------------------
 
 def overlaps(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
@@ -279,8 +278,8 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     1. Equal sets are one set from the start (n_copies: its rows).
     2. Index lists hold each set under the shingles of its prefix, rare ones first by counts of all
        documents in a fixed number of cells. Any order gives whole results; counts keep lists short.
-    3. Every set is compared with the leader of each of its lists, so a list costs its length, not
-       its square. What links is one class.
+    3. Every set is compared with the leader of each of its lists, the most central set there, so a
+       list costs its length, not its square. What links is one class.
     4. Only sets of different classes are compared further. Lists are cut into blocks by size and
        position, and blocks that can't hold a partner are skipped. For a pair met in a list, the
        overlaps of both with the leader, already computed, bound their own overlap from both sides:
@@ -301,22 +300,22 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     known = survey.where(F.col("slice").isNull()).select("doc_id", "n", "s1", "s2")
     nodes = known.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("s1", "s2", "n").agg(
         F.min("doc_id").alias("node"), F.count("*").alias("n_copies"))
-    entries = known.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
+    entries = known.agg(F.sum(_prefix_size(F.col("n"), percent))).first()[0] or 0
     partitions = max(shuffles(spark), math.ceil(entries / ENTRIES))
     kinds = np.floor(np.log2(cells.astype(np.float64) + 1)).astype(np.uint8)
     heavy = int(math.log2(max(64.0, HEAVY * float(cells.mean()))))
 
     index = docs.mapInArrow(_index(words, percent, kinds, heavy, 8 * partitions), "part long, entries binary")
-    dealt = index.repartition(partitions, "part").mapInArrow(
-        _lists(heavy),
-        "token long, sid long, n int, pos int, leader long, leader_n int, leader_pos int, hot boolean")
+    dealt = index.repartition(partitions, "part").mapInArrow(_lists(heavy), "token long, sid long, n int, pos int")
     lists = stash(dealt, "lists")
-    # A frequent shingle's list was read in parts; leaders of the parts meet under the first of them.
-    tops = lists.where("hot").groupBy("token").agg(
-        F.min(F.struct("leader_n", "leader", "leader_pos")).alias("top"))
-    lists = stash(lists.where("not hot").unionByName(lists.where("hot").join(tops, "token").select(
-        "token", "sid", "n", "pos", F.col("top.leader").alias("leader"), F.col("top.leader_n").alias("leader_n"),
-        F.col("top.leader_pos").alias("leader_pos"), "hot")).drop("hot"), "led-lists")
+    # The leader of a list is its most central set: the one with the largest share of its prefix
+    # in lists with others, as an original has among its altered copies; then the smallest.
+    central = lists.groupBy("sid").agg((-F.count("*") / F.max(_prefix_size(F.col("n"), percent))).alias("rank"))
+    ranked = lists.join(central, "sid")
+    tops = ranked.groupBy("token").agg(F.min(F.struct("rank", "n", "sid", "pos")).alias("top"))
+    lists = stash(lists.join(tops, "token").select(
+        "token", "sid", "n", "pos", F.col("top.sid").alias("leader"), F.col("top.n").alias("leader_n"),
+        F.col("top.pos").alias("leader_pos")), "led-lists")
 
     stars = lists.where((F.col("sid") != F.col("leader")) & _may_link(percent, "n", "pos", "leader_n", "leader_pos"))
     stars = stars.groupBy(F.col("leader").alias("a"), F.col("sid").alias("b")).agg(
@@ -330,7 +329,6 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     # Lists that hold sets of more than one class.
     member = classes.select(F.col("node").alias("sid"), "component")
     classed = lists.join(member, "sid", "left").withColumn("class", F.coalesce("component", "sid")).drop("component")
-    classed = stash(classed, "classed-lists")
     mixed = classed.groupBy("token").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("token")
     open_lists = classed.join(mixed, "token", "left_semi")
     told = known_overlaps.select(F.col("a").alias("leader"), F.col("b").alias("sid"), "shared")
