@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tripmill.llm.common import folded_words, mix64, require, shuffles, stash
 
 #: Bytes of context. A gram is a context, newest byte first, and the byte that follows it.
-DEPTH = 4
+DEPTH = 5
 #: Bytes of text in a block of documents, and numbers that one shard of the counts gets, about.
 BLOCK_BYTES, SHARD_ENTRIES = 1 << 24, 1 << 22
 HOLD_OUT, HELD = 7, 2
