@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from tripmill.llm import jaccard, lines, mixing, packing, urls
+from tripmill.llm import ctw, forest, hnsw, jaccard, lines, mixing, packing, urls
 
 QUERIES = {
+    "op1_hnsw_dedup": hnsw.op1_hnsw_dedup,
+    "op2_ctw_score": ctw.op2_ctw_score,
     "op5_line_dedup": lines.op5_line_dedup,
     "op6_pack": packing.op6_pack,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
     "op8_pareto_mix": mixing.op8_pareto_mix,
     "op9_url_filter": urls.op9_url_filter,
+    "op10_forest_search": forest.op10_forest_search,
 }
 
 ORACLES = {
