@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tripmill.llm import ctw, forest, hnsw, jaccard, lines, mixing, packing, urls
+from tripmill.llm import ctw, forest, hnsw, html_text, jaccard, lines, mixing, packing, quality, urls
 
 QUERIES = {
     "op1_hnsw_dedup": hnsw.op1_hnsw_dedup,
     "op2_ctw_score": ctw.op2_ctw_score,
+    "op3_tag_paths": html_text.op3_tag_paths,
+    "op4_weak_quality": quality.op4_weak_quality,
     "op5_line_dedup": lines.op5_line_dedup,
     "op6_pack": packing.op6_pack,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
