@@ -16,8 +16,8 @@ from tripmill.llm.common import require, shuffles, stash
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-#: Words whose ids a worker remembers before it starts over.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers.
+REMEMBERED = 800_000
 #: Pieces of one length that one task ranks, about.
 RANKED = 50_000
 
@@ -149,34 +149,50 @@ def slots(plan: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
 # ---- tokens ----------------------------------------------------------------------------------
 
 class WordIds(dict):
-    """Ids of a word as little-endian 32-bit bytes. No token of this vocabulary spans white space."""
+    """Ids of a word (A-Z in lower case) as little-endian 32-bit bytes. No token of this vocabulary spans white space.
+
+    Holds the words of the latest texts; those not met again for long are forgotten.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
+        out = self.older.get(word)
+        if out is None:
+            # A mark after a letter is a token run of its own, so the word is looked up without it.
+            if len(word) > 1 and word[-1] in b".,;:!?" and 97 <= word[-2] <= 122:
+                out = self[word[:-1]] + self[word[-1:]]
+            else:
+                ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
+                out = np.asarray(ids, dtype="<u4").tobytes()
+        if len(self) >= REMEMBERED // 2:
+            self.older = dict(self)
             self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        self[word] = out = np.asarray(ids, dtype="<u4").tobytes()
+        self[word] = out
         return out
 
 
+#: One memory per vocabulary and worker, kept from task to task.
+_WORDS: dict[str, WordIds] = {}
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of whole texts, longer ones cut every ``capacity`` ids."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer)
+        words = _WORDS.get(tokenizer) or _WORDS.setdefault(tokenizer, WordIds(tokenizer))
         step = 4 * capacity
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(batch.column("text").cast(pa.binary())):
-                raw = b"".join([words[w] for w in (text.as_py() or b"").split()]) + end
+                raw = b"".join([words[w] for w in (text.as_py() or b"").lower().split()]) + end
                 for k, at in enumerate(range(0, len(raw), step)):
                     own = raw[at:at + step]
                     row.append(i)
