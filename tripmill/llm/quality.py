@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import folded_words, require, texts_in_pieces
+from tripmill.llm.common import folded_words, require, stash, texts_in_pieces
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 #: Documents that the scorer is fitted on, at most, half of them from either side of the weak labels.
@@ -205,7 +205,8 @@ def fit_quality(docs: DataFrame, sample: int = SAMPLE) -> tuple[Labels, np.ndarr
     Votes of all documents are counted per pattern, at most 3 ** 8 numbers, and EM runs on these. The
     scorer is fitted on at most ``sample`` documents, those of smallest hash on either side.
     """
-    voted = docs.select("doc_id", "text", votes_of(docs["text"]).alias("code")).where("code >= 0")
+    key = F.xxhash64("doc_id", F.octet_length("text")).alias("h")
+    voted = stash(docs.select(key, votes_of(docs["text"]).alias("code")).where("code >= 0"), "votes")
     counted = voted.groupBy("code").count().collect()
     codes, counts = (np.asarray([r[i] for r in counted], dtype=np.int64) for i in (0, 1))
     labels = fit_labels(codes, counts) if len(codes) else Labels(0.5, np.full((2, len(LABELLERS), 3), 1 / 3))
@@ -217,12 +218,12 @@ def fit_quality(docs: DataFrame, sample: int = SAMPLE) -> tuple[Labels, np.ndarr
     def packed(column: pa.Array) -> pa.Array:
         return pa.array([features(f).tobytes() for f in _facts(column, runs=True)], pa.binary())
 
-    for side in (codes[good >= 0.5], codes[good < 0.5]):
-        own = voted.where(F.col("code").isin(side.tolist())) if len(side) else None
-        if own is None:
-            continue
-        chosen = own.orderBy(F.xxhash64("doc_id", F.octet_length("text")), "code").limit(sample // 2)
-        for r in chosen.select("code", packed(F.col("text")).alias("x")).toLocalIterator():
+    sides = [side.tolist() for side in (codes[good >= 0.5], codes[good < 0.5]) if len(side)]
+    for side in sides:
+        # At most sample / 2 rows, so that they may be broadcast.
+        chosen = voted.where(F.col("code").isin(side)).orderBy("h", "code").limit(sample // 2).dropDuplicates(["h"])
+        texts = docs.select(key, "text").join(F.broadcast(chosen), "h").limit(sample)
+        for r in texts.select("code", packed(F.col("text")).alias("x")).toLocalIterator():
             rows.append((np.frombuffer(r["x"], dtype=np.float32), belief[r["code"]]))
     x = np.stack([r[0] for r in rows]) if rows else np.zeros((0, FEATURES), dtype=np.float32)
     return labels, fit_scorer(x, np.asarray([r[1] for r in rows]))
