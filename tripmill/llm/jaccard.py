@@ -165,7 +165,11 @@ def _index(words: int, percent: int, kinds: np.ndarray, heavy: int, partitions:
 
 
 def _lists(heavy: int) -> Callable:
-    """Entries (token, sid, n, pos) of lists with two sets at least, or of frequent shingles."""
+    """Entries (token, sid, n, pos) of lists with two sets at least, or of frequent shingles.
+
+    A list is named by a hash of its sets, so that lists of equal sets may become one; the part of a
+    frequent shingle's list keeps the shingle.
+    """
     names = ["token", "sid", "n", "pos"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,10 +192,12 @@ def _lists(heavy: int) -> Callable:
         size = np.diff(np.concatenate([start, [len(e)]]))
         hot = (e["token"] >> _U(58)) >= heavy
         keep = np.flatnonzero((np.repeat(size, size) > 1) | hot)
+        name = mix64(np.add.reduceat(mix64(e["sid"].view(_U) if e["sid"].flags.c_contiguous else e["sid"].astype(_U)), start))
+        name = np.where(hot, e["token"], np.repeat(name, size))
         for at in range(0, len(keep), 100_000):
-            x = e[keep[at:at + 100_000]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v) for v in (x["token"].view(np.int64), x["sid"], x["n"], x["pos"])], names)
+            k = keep[at:at + 100_000]
+            x = e[k]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (name[k].view(np.int64), x["sid"], x["n"], x["pos"])], names)
 
     return run
 
@@ -307,10 +313,12 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 
     index = docs.mapInArrow(_index(words, percent, kinds, heavy, 8 * partitions), "part long, entries binary")
     dealt = index.repartition(partitions, "part").mapInArrow(_lists(heavy), "token long, sid long, n int, pos int")
-    lists = stash(dealt, "lists")
+    # Lists of equal sets are one, with each set's first position.
+    lists = stash(dealt.groupBy("token", "sid").agg(
+        F.min("n").alias("n"), F.min("pos").alias("pos"), F.count("*").alias("shingles")), "lists")
     # The leader of a list is its most central set: the one with the largest share of its prefix
     # in lists with others, as an original has among its altered copies; then the smallest.
-    central = lists.groupBy("sid").agg((-F.count("*") / F.max(_prefix_size(F.col("n"), percent))).alias("rank"))
+    central = lists.groupBy("sid").agg((-F.sum("shingles") / F.max(_prefix_size(F.col("n"), percent))).alias("rank"))
     ranked = lists.join(central, "sid")
     tops = ranked.groupBy("token").agg(F.min(F.struct("rank", "n", "sid", "pos")).alias("top"))
     lists = stash(lists.join(tops, "token").select(
