@@ -149,3 +149,9 @@ def test_parse_time(spark):
     assert strict == [datetime(2024, 1, 2, 3, 4, 5), None, None, None]
     free = [r[0] for r in df.select(X.parse_time("s")).collect()]
     assert free == [datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2), None, None]
+
+
+def test_contains_text_takes_marks_literally(spark):
+    df = spark.createDataFrame([("A_B",), ("axb",), ("50%",), (None,)], "s string")
+    assert [r.s for r in df.filter(X.contains_text("s", "a_b")).collect()] == ["A_B"]
+    assert [r.s for r in df.filter(X.contains_text("s", "0%")).collect()] == ["50%"]

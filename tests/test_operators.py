@@ -87,9 +87,9 @@ def test_messages(spark):
 
 def test_sample_only_if_large(spark):
     df = spark.range(10_000)
-    assert op.sample_if_large(df, 10_000, 1).count() == 10_000
-    assert 800 < op.sample_if_large(df, 1_000, 1).count() < 1_200
-    assert op.sample_if_large(df.limit(0), 10, 1).count() == 0
+    assert op.sample(df, 1.0, 1).count() == 10_000
+    assert 800 < op.sample(df, 0.1, 1).count() < 1_200
+    assert op.sample(df.limit(0), 0.1, 1).count() == 0
 
 
 def test_union_fills_missing_columns(spark, rows):
@@ -261,3 +261,12 @@ def test_schema_check(spark, rows):
     }
     with pytest.raises(op.QualityError):
         op.check_schema(df, want, enforce=True)
+
+
+def test_a_fractional_key_finds_no_zone(spark):
+    zones = spark.createDataFrame([(1, "One")], "LocationID int, Zone string")
+    for kind in ("double", "decimal(5,2)", "string"):
+        trips = spark.createDataFrame([("1.9",), ("1",), ("1.0",), (None,), ("x",)], "k string").select(
+            F.expr(f"try_cast(k as {kind})").alias("k"))
+        found = op.with_zone(trips, zones, "k").filter("Zone is not null").count()
+        assert found == 2, kind

@@ -71,20 +71,34 @@ def _table(spark, path):
     return sorted((r.id, r.v) for r in sinks.read_months(spark, path).collect())
 
 
+def _from_to(df, low, high):
+    return df.filter(F.to_date("t").between(low, high))
+
+
+def test_time_interval_refuses_rows_outside(spark, trips, tmp_path):
+    path = f"{tmp_path}/t"
+    sinks.materialize(trips, path, "replace", key="t")
+    lost = trips.withColumn("t", F.when(F.col("id") != 2, F.col("t")))
+    for rows in (trips, _from_to(trips, "2024-02-01", "2024-02-29").unionByName(lost.filter("id = 2"))):
+        with pytest.raises(ValueError, match="nothing was written"):
+            sinks.materialize(rows.withColumn("v", F.lit(9.0)), path, "time_interval", "t", "2024-02-01", "2024-02-29")
+    assert {v for _, v in _table(spark, path)} == {1.0}
+
+
 def test_time_interval_replaces_only_the_interval(spark, trips, tmp_path):
     path = f"{tmp_path}/t"
     sinks.materialize(trips, path, "replace", key="t")
-    new = trips.withColumn("v", F.lit(2.0))
+    new = _from_to(trips.withColumn("v", F.lit(2.0)), "2024-01-20", "2024-03-03")
     for _ in range(2):  # a second run changes nothing
         sinks.materialize(new, path, "time_interval", "t", "2024-01-20", "2024-03-03")
         assert _table(spark, path) == [(0, 1.0), (1, 2.0), (2, 2.0), (3, 2.0), (4, 2.0), (5, 1.0)]
-    assert not glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/kept-*")
+    assert not glob.glob(f"{path}/_kept-*")
 
 
 def test_time_interval_removes_a_month_left_empty(spark, trips, tmp_path):
     path = f"{tmp_path}/t"
     sinks.materialize(trips, path, "replace", key="t")
-    new = trips.filter("month(t) <> 2")
+    new = _from_to(trips.filter("month(t) <> 2"), "2024-01-20", "2024-03-03")
     sinks.materialize(new, path, "time_interval", "t", "2024-01-20", "2024-03-03")
     assert [i for i, _ in _table(spark, path)] == [0, 1, 4, 5]
     assert not os.path.exists(f"{path}/year_month=202402")
@@ -103,10 +117,10 @@ def test_time_interval_fills_a_table_left_empty(spark, trips, tmp_path):
 
 def test_time_interval_bounds(spark, trips, tmp_path):
     path = f"{tmp_path}/t"
-    new = trips.withColumn("v", F.lit(3.0))
+    new = _from_to(trips.withColumn("v", F.lit(3.0)), "2024-02-01", "2024-02-29")
     sinks.materialize(new, path, "time_interval", "t", "2024-02-01", "2024-02-29")  # no table yet
     assert _table(spark, path) == [(2, 3.0), (3, 3.0)]
-    again = trips.withColumn("v", F.lit(4.0))
+    again = trips.withColumn("v", F.lit(4.0)).filter("t between '2024-02-10' and '2024-02-29 23:59:58'")
     sinks.materialize(
         again, path, "time_interval", "t", datetime(2024, 2, 10), datetime(2024, 2, 29, 23, 59, 58)
     )

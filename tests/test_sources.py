@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -151,22 +152,39 @@ def _pages(root, pages):
     return str(root)
 
 
-@pytest.mark.parametrize(
-    "numbers, empty, wanted",
-    [([1, 2, 3], [], [1, 2, 3]), ([1, 2, 4], [3], [1, 2]), ([1, 2, 4], [], [1, 2]), ([2, 3], [1], []),
-     ([2, 3], [], []), ([1], [2, 3], [1]), ([0, 1, 2], [], [1, 2]), ([1, 2, 10, 11], [12], [1, 2])],
-)
-def test_pages_end_at_the_first_empty_one(spark, tmp_path, numbers, empty, wanted):
+@pytest.mark.parametrize("numbers, empty", [([1, 2, 3], []), ([1, 2, 4], [3]), ([2, 3], [1]), ([1], [2, 3])])
+def test_all_pages_are_read(spark, tmp_path, numbers, empty):
     pages = {n: [{"n": n, "tip_amt": 0.5}, {"n": n}] for n in numbers} | {n: [] for n in empty}
     df = sources.read_json_pages(spark, _pages(tmp_path / "p", pages), ROW)
     got = sorted((r.page, r.n) for r in df.collect())
-    assert got == sorted((n, n) for n in wanted for _ in range(2))
+    assert got == sorted((n, n) for n in numbers for _ in range(2))
+
+
+@pytest.mark.parametrize("numbers", [[1, 2, 4], [2, 3], [0, 1, 2], [1, 2, 10, 11]])
+def test_a_gap_between_pages_is_an_error(spark, tmp_path, numbers):
+    root = _pages(tmp_path / "p", {n: [{"n": n}] for n in numbers})
+    with pytest.raises(ValueError, match="without a gap"):
+        sources.read_json_pages(spark, root, ROW)
 
 
 def test_latest_snapshot_by_name(spark, tmp_path):
     for name, n in [("data_20240101", 1), ("data_20240109", 2), ("data_2023", 3)]:
         spark.range(n).write.parquet(f"{tmp_path}/{name}/trips")
     spark.range(9).write.parquet(f"{tmp_path}/data_20240110/zones")
+    spark.range(8).write.parquet(f"{tmp_path}/data_20240111/trips")
+    os.remove(f"{tmp_path}/data_20240111/trips/_SUCCESS")  # still being written
     assert sources.read_latest_snapshot(spark, str(tmp_path), "trips").count() == 2
     with pytest.raises(FileNotFoundError):
         sources.read_latest_snapshot(spark, str(tmp_path), "fares")
+
+
+def test_external_table_never_drops_a_managed_one(spark, tmp_path):
+    spark.range(3).write.mode("overwrite").saveAsTable("owned_rows")
+    spark.range(5).write.parquet(f"{tmp_path}/files")
+    with pytest.raises(ValueError, match="not an external table"):
+        sources.register_external(spark, "owned_rows", f"{tmp_path}/files")
+    assert spark.table("owned_rows").count() == 3
+    for _ in range(2):
+        assert sources.register_external(spark, "outside_rows", f"{tmp_path}/files").count() == 5
+    spark.sql("DROP TABLE owned_rows")
+    spark.sql("DROP TABLE outside_rows")

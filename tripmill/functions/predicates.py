@@ -67,5 +67,5 @@ def greater_than(c: str, value) -> Column:
 
 
 def contains_text(c: str, part: str) -> Column:
-    """Case-insensitive containment, ``ILIKE '%part%'``."""
-    return F.col(c).ilike(f"%{part}%")
+    """Case-insensitive containment; ``%`` and ``_`` in the part are ordinary characters."""
+    return F.contains(F.lower(c), F.lit(part.lower()))

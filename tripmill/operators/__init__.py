@@ -23,7 +23,7 @@ from tripmill.operators.projections import (
     keep,
     normalize_trips,
     preview,
-    sample_if_large,
+    sample,
     stage,
     to_message,
     union_trips,
@@ -73,7 +73,7 @@ __all__ = [
     "percent_where",
     "positive",
     "preview",
-    "sample_if_large",
+    "sample",
     "share_of_total",
     "sort_by",
     "stage",

@@ -7,17 +7,29 @@ above the bound the plan is a sort-merge join whose skewed partitions are split
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmill.schemas import PAYMENT_NAMES
 
 _KEY = "_zone_key"
 
 
+def _whole(df: DataFrame, key: str) -> Column:
+    """A key as a whole number; NULL, and so without a match, if that would change its value."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return F.when(df[key] == F.floor(df[key]), df[key]).try_cast("bigint")
+    if isinstance(kind, T.StringType):
+        number = df[key].try_cast("decimal(38,10)")
+        return F.when(number == F.floor(number), number).try_cast("bigint")
+    return df[key].try_cast("bigint")
+
+
 def _dimension(zones: DataFrame, zone_key: str, columns: list[str]) -> DataFrame:
     # A lookup read as text may hold keys such as N/A; those match nothing instead of failing the job.
-    return zones.select(F.col(zone_key).try_cast("bigint").alias(_KEY), *columns).filter(
+    return zones.select(_whole(zones, zone_key).alias(_KEY), *columns).filter(
         F.col(_KEY).isNotNull()
     )
 
@@ -35,7 +47,7 @@ def with_zone(
     if clash:
         raise ValueError(f"trips already have {', '.join(sorted(clash))}")
     zones = _dimension(zones, zone_key, names)
-    return trips.join(zones, trips[key].try_cast("bigint") == zones[_KEY], "left").drop(_KEY)
+    return trips.join(zones, _whole(trips, key) == zones[_KEY], "left").drop(_KEY)
 
 
 def count_by_zone(
@@ -62,5 +74,5 @@ def with_payment_name(trips: DataFrame, code: str, name: str = "payment_name") -
     """Left join with the payment lookup, a fixed table of six rows and therefore safe to broadcast."""
     values = ", ".join(f"({number}L, '{text}')" for number, text in PAYMENT_NAMES.items())
     lookup = trips.sparkSession.sql(f"SELECT * FROM VALUES {values} AS names(_code, `{name}`)")
-    matched = F.col(code).try_cast("bigint") == lookup["_code"]
+    matched = _whole(trips, code) == lookup["_code"]
     return trips.join(F.broadcast(lookup), matched, "left").drop("_code")

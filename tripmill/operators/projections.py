@@ -178,14 +178,9 @@ def from_message(df: DataFrame, schema: T.StructType, column: str = "value") ->
     return df.select(parsed.alias("m")).select("m.*")
 
 
-def sample_if_large(df: DataFrame, max_rows: int, seed: int | None = None) -> DataFrame:
-    """About ``max_rows`` random rows if the frame has more, else all of it.
-
-    The row count is a scalar subquery, so nothing runs before the caller's own action.
-    """
-    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    draw = F.rand(seed) if seed is not None else F.rand()
-    return df.filter(draw * rows < F.lit(max_rows))
+def sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
+    """A random part of the rows; the caller chooses it, never the size. A fraction of 1 is all rows."""
+    return df.filter(F.rand(seed) < F.lit(fraction))
 
 
 def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:

@@ -86,10 +86,12 @@ def check(df: DataFrame, rules: Sequence[Rule], enforce: bool = False) -> DataFr
     for part in parts[1:]:
         report = report.unionByName(part)
     if enforce:
-        found = [r for r in report.collect() if r.status == "fail"]  # as many rows as rules
+        rows = report.collect()  # as many rows as rules
+        found = [r for r in rows if r.status == "fail"]
         if found:
             what = ", ".join(f"{r.check}({r.column}): {r.failing_rows}" for r in found)
             raise QualityError(what)
+        return df.sparkSession.createDataFrame(rows, report.schema)
     return report
 
 

@@ -243,15 +243,9 @@ def message_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")
 def sample_small_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A frame below the limit is kept whole."""
+    """A fraction of 1 keeps all rows."""
     customers = table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_acctbal"])
-    return op.sample_if_large(customers, 2**62, seed=7)
-
-
-@query()
-def sample_if_large(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """About 5,000 of all rows; random, so without equal SQL."""
-    return op.sample_if_large(table(spark, sf_dir, "lineitem"), 5_000, seed=7)
+    return op.sample(customers, 1.0, seed=7)
 
 
 # ---- payment methods ---------------------------------------------------------------------------

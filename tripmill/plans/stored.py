@@ -5,6 +5,7 @@ Every call writes the whole test table to a folder of its own below the shared f
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,6 +93,11 @@ def typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PRICED = "SELECT count(DISTINCT o_custkey) AS customers, round(sum(o_totalprice), 2) AS total FROM orders"
 
 
+def _unique(name: str) -> str:
+    """A catalog name of this call alone, so that queries may run side by side."""
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
 def _priced(df: DataFrame) -> DataFrame:
     return df.agg(
         F.countDistinct("o_custkey").alias("customers"),
@@ -102,7 +108,7 @@ def _priced(df: DataFrame) -> DataFrame:
 @query(_PRICED)
 def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _priced(
-        sources.register_external(spark, "orders_external", f"{sf_dir}/orders.parquet")
+        sources.register_external(spark, _unique("orders_external"), f"{sf_dir}/orders.parquet")
     )
 
 
@@ -110,9 +116,9 @@ def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Created twice; the second run replaces the first."""
     orders = table(spark, sf_dir, "orders")
-    where = shared_dir(spark, "warehouse")
-    sinks.replace_table(orders.filter("o_orderstatus = 'F'"), "orders_loaded", where)
-    return _priced(sinks.replace_table(orders, "orders_loaded", where))
+    where, name = shared_dir(spark, "warehouse"), _unique("orders_loaded")
+    sinks.replace_table(orders.filter("o_orderstatus = 'F'"), name, where)
+    return _priced(sinks.replace_table(orders, name, where))
 
 
 @query("SELECT 4::BIGINT AS files, count(*) AS total_rows FROM lineitem")
@@ -226,11 +232,11 @@ _PAGE_ROWS = 500
 
 
 @query(
-    f"SELECT event_id, user_id, value, (event_id // {_PAGE_ROWS} + 1)::INTEGER AS page FROM events "
-    f"WHERE event_id // {_PAGE_ROWS} < (SELECT (max(event_id) // {_PAGE_ROWS} + 1) // 2 FROM events)"
+    f"SELECT event_id, user_id, value, (event_id // {_PAGE_ROWS} + CASE WHEN event_id // {_PAGE_ROWS} < "
+    f"(SELECT (max(event_id) // {_PAGE_ROWS} + 1) // 2 FROM events) THEN 1 ELSE 2 END)::INTEGER AS page FROM events"
 )
 def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of 500 rows, the page in the middle empty; a reader stops there."""
+    """Pages of 500 rows, the page in the middle empty; all rows are read."""
     root = shared_dir(spark, "pages")
     events = table(spark, sf_dir, "events", ["event_id", "user_id", "value"])
     full = F.floor(F.col("event_id") / _PAGE_ROWS)
@@ -285,7 +291,7 @@ def payment_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "click", value).otherwise("none").alias("tip_amt"),
     )
     sinks.write_snapshot(raw, root, "taxi_data", "taxi")
-    rows = taxi.load_payments(spark, root, max_rows=2**62, seed=7)
+    rows = taxi.load_payments(spark, root)
     daily = taxi.payment_overview(rows).daily.select(
         "trip_date", "total_amt", "tip_amt", "trip_count", "revenue_ma7", "tips_ma7"
     )
@@ -317,8 +323,9 @@ def replace_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def view_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = table(spark, sf_dir, "orders").filter(X.equals("o_orderstatus", "F"))
-    sinks.materialize(filled, "filled_orders", "view")
-    return spark.table("filled_orders")
+    name = _unique("filled_orders")
+    sinks.materialize(filled, name, "view")
+    return spark.table(name)
 
 
 @query(
@@ -332,7 +339,8 @@ def time_interval_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "interval")
     orders = table(spark, sf_dir, "orders")
     sinks.materialize(orders, path, "replace", key="o_orderdate")
-    corrected = orders.filter(F.month("o_orderdate") != 7).withColumn(
+    inside = F.col("o_orderdate").between("1996-03-10", "1997-02-05 23:59:59.999999")
+    corrected = orders.filter(inside & (F.month("o_orderdate") != 7)).withColumn(
         "o_totalprice", F.col("o_totalprice") + 1
     )
     for _ in range(2):

@@ -139,27 +139,24 @@ def load_pages(
 
 
 def load_payments(
-    spark: SparkSession, root: str, table: str = "taxi_data", max_rows: int | None = None,
-    seed: int | None = None,
+    spark: SparkSession, root: str, table: str = "taxi_data"
 ) -> DataFrame:
     """Payments of the newest snapshot that has the table; empty, with all columns, if none has."""
     try:
         raw = sources.read_latest_snapshot(spark, root, table)
     except FileNotFoundError:
         return spark.createDataFrame([], _NO_PAYMENTS)
-    return payments(raw, max_rows, seed)
+    return payments(raw)
 
 
-def payments(raw: DataFrame, max_rows: int | None = None, seed: int | None = None) -> DataFrame:
-    """Four columns of the raw rows, a sample if there are more than ``max_rows``, readably typed."""
+def payments(raw: DataFrame) -> DataFrame:
+    """Four columns of the raw rows, readably typed."""
     rows = raw.select(
         F.col("trip_pickup_date_time").alias("pickup_dt"),
         F.col("payment_type").cast("string").alias("payment_raw"),
         "total_amt",
         "tip_amt",
     )
-    if max_rows is not None:
-        rows = op.sample_if_large(rows, max_rows, seed)
     return op.coerce(
         rows, times=["pickup_dt"], numbers=["total_amt", "tip_amt"],
         drop_null_in=["pickup_dt", "total_amt"],

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -67,13 +66,12 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name that every executor can reach.
 
-    The cluster names the parent in ``spark.checkpoint.dir``. Only a local master may fall back to
-    a temporary folder, because there driver and executors are one machine.
+    The parent is the folder in ``spark.checkpoint.dir``. A cluster must set it; on one machine it
+    is by default a folder in the warehouse.
     """
     parent = spark.conf.get("spark.checkpoint.dir", None)
     if not parent:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        parent = tempfile.mkdtemp(prefix="tripmill-")
-        spark.conf.set("spark.checkpoint.dir", parent)
+        parent = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

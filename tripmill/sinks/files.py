@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timezone
 
@@ -82,7 +83,8 @@ def write_snapshot(
 ) -> str:
     """Append to the table of the snapshot ``name_<time>``; snapshots sort by name in order of time."""
     at = at or datetime.now(timezone.utc)
-    path = f"{root.rstrip('/')}/{name}_{at:%Y%m%d%H%M%S}/{table}"
+    # Two runs in one second are two snapshots.
+    path = f"{root.rstrip('/')}/{name}_{at:%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:6]}/{table}"
     df.write.mode("append").parquet(path)
     return path
 

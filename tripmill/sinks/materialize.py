@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.functions.predicates import as_date, month_number
-from tripmill.session import shared_dir
 from tripmill.sinks.files import MONTH, by_month, with_month
 from tripmill.sources.months import months_between
 from tripmill.storage import child_names, remove
@@ -65,22 +65,27 @@ def replace_interval(
     start: date | datetime | str,
     end: date | datetime | str,
 ) -> None:
-    """Delete the table's rows whose ``key`` lies in the interval and insert those of ``df`` that do.
+    """Delete the table's rows whose ``key`` lies in the interval and insert ``df``.
+
+    Rows of ``df`` outside the interval, or without a key, are refused before anything is written.
 
     Running it twice leaves the same table. Only the months of the interval are written. Of those
-    only the first and the last can hold rows outside it; these rows are set aside in the shared
-    folder first, so the write never reads what it overwrites. A month that is left without rows
+    only the first and the last can hold rows outside it; these rows are set aside beside the
+    table first, so the write never reads what it overwrites. A month that is left without rows
     is removed, which an overwrite of partitions alone would not do.
     """
     spark = df.sparkSession
     inside = _inside(key, start, end)
-    out = with_month(df.filter(inside), key)
+    astray = df.filter(~F.coalesce(inside, F.lit(False))).count()
+    if astray:
+        raise ValueError(f"{astray} rows have no {key} from {start} to {end}; nothing was written")
+    out = with_month(df, key)
     months = months_between(as_date(start), as_date(end))
     kept = None
     if child_names(spark, path):
         old = spark.read.parquet(path)
         edges = F.col(MONTH).isin(month_number(start), month_number(end))
-        kept = shared_dir(spark, "kept")
+        kept = f"{path.rstrip('/')}/_kept-{uuid.uuid4().hex[:12]}"
         old.filter(edges & ~inside).write.parquet(kept)
         out = out.unionByName(spark.read.schema(old.schema).parquet(kept))
     folders = [f"{path.rstrip('/')}/{MONTH}={year * 100 + month}" for year, month in months]

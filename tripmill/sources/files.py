@@ -168,7 +168,10 @@ def load_typed(df: DataFrame, schema: T.StructType, strict: bool = True) -> Data
 
 
 def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A table over files that stay where they are."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """A table over files that stay where they are. A table that owns its files is never dropped for it."""
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType != "EXTERNAL":
+            raise ValueError(f"{name} exists and is not an external table")
+        spark.sql(f"DROP TABLE {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
     return spark.table(name)
