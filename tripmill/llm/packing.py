@@ -62,11 +62,17 @@ class _Sums:
 
 
 def pack_counts(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """The shortest of the plans that complement lengths above 0, a third or half of the capacity by up to 1, 2 or 3 parts."""
+    plans = (_plan(counts, capacity, capacity // share + 1, parts) for share in (2, 3, capacity + 1) for parts in (3, 2, 1))
+    return min(plans, key=lambda plan: sum(n for _, n in plan))
+
+
+def _plan(counts: dict[int, int], capacity: int, least: int, parts: int) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of one sequence, how many such sequences) that use up ``counts`` (length to number).
 
-    From the longest length down, what fills its gap exactly is looked up among single lengths,
-    pairs and triples, and consumed as often as all parts are there. Each step uses up some length,
-    so steps are bounded by ``capacity``. What has no exact complement is placed by best fit, longest
+    What fills the gap of a length exactly is looked up from the longest down to ``least``, first among
+    single lengths, then pairs, then triples (as many ``parts`` at most), and consumed as often as all parts are there. Each
+    step uses up some length, so steps are bounded by ``capacity``. What has no exact complement is placed by best fit, longest
     first. Both work on counts, so neither grows with the number of pieces.
     """
     left = np.zeros(capacity + 1, dtype=np.int64)
@@ -74,27 +80,26 @@ def pack_counts(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[
         if not 0 < length <= capacity:
             raise ValueError(f"length {length} doesn't fit {capacity}")
         left[length] = n
-    sums, plan, residual = _Sums(left), [], {}
+    sums, plan = _Sums(left), []
     if left[capacity]:
         plan.append(((capacity,), int(left[capacity])))
         left[capacity] = 0
-    for length in range(capacity - 1, 0, -1):
-        while left[length]:
-            left[length] -= 1
-            gap = capacity - length
-            rest = sums.single(gap) or sums.pair(gap) or sums.triple(gap)
-            left[length] += 1
-            if not rest:
-                residual[length] = int(left[length])
-                left[length] = 0
-                break
-            need = defaultdict(int)
-            for part in (length, *rest):
-                need[part] += 1
-            times = min(int(left[p]) // k for p, k in need.items())
-            for p, k in need.items():
-                left[p] -= times * k
-            plan.append(((length, *rest), times))
+    for find in (sums.single, sums.pair, sums.triple)[:parts]:
+        for length in range(capacity - 1, least - 1, -1):
+            while left[length]:
+                left[length] -= 1
+                rest = find(capacity - length)
+                left[length] += 1
+                if not rest:
+                    break
+                need = defaultdict(int)
+                for part in (length, *rest):
+                    need[part] += 1
+                times = min(int(left[p]) // k for p, k in need.items())
+                for p, k in need.items():
+                    left[p] -= times * k
+                plan.append(((length, *rest), times))
+    residual = {int(p): int(left[p]) for p in np.flatnonzero(left)}
     return plan + _best_fit(residual, capacity)
 
 

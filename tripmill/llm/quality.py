@@ -194,7 +194,8 @@ def score_of(text: Column, weights: np.ndarray) -> Column:
     @F.arrow_udf("double")
     def score(column: pa.Array) -> pa.Array:
         out = [float(features(f) @ weights[:-1] + weights[-1]) if f.words else -np.inf for f in _facts(column, runs=True)]
-        return pa.array(1 / (1 + np.exp(-np.clip(np.asarray(out, dtype=float), -700, 700))))
+        raw = np.asarray(out, dtype=float)
+        return pa.array(np.where(raw == -np.inf, 0.0, 1 / (1 + np.exp(-np.clip(raw, -700, 700)))))
 
     return score(text)
 
