@@ -18,7 +18,9 @@ _U = np.uint64
 _BYTE_STEP = 0x9E3779B97F4A7C15
 _BYTE_BACK = pow(_BYTE_STEP, -1, 1 << 64)
 _WORD_STEP = _U(0xD6E8FEB86659FD93)
-_PIECE = 1 << 21
+_PIECE = 1 << 20
+#: Bytes of rows that tasks hand to Python at a time, in place of Spark's own bound of 64 MB.
+BATCH_BYTES = 8 << 20
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -182,5 +184,11 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The named columns and no others, so that extra columns can't clash with an operator's own."""
+    """The named columns and no others, so that extra columns can't clash with an operator's own.
+
+    Also bounds the batches that tasks hand to Python, where the session leaves Spark's bound.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name) in ("67108864b", "64m", "64MB"):
+        conf.set(name, f"{BATCH_BYTES}b")
     return df.select(*[df[c] for c in columns])

@@ -17,7 +17,7 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Words whose ids a worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 #: Pieces of one length that one task ranks, about.
 RANKED = 50_000
 

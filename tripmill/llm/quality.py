@@ -14,7 +14,7 @@ from tripmill.llm.common import folded_words, require, stash, texts_in_pieces
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 #: Documents that the scorer is fitted on, at most, half of them from either side of the weak labels.
-SAMPLE = 4000
+SAMPLE = 2000
 #: Hashed features, the length of the runs of character kinds they count, and the steps of the fit.
 FEATURES, RUN, STEPS = 4096, 5, 150
 #: Documents scored below this are rejected.
@@ -227,7 +227,9 @@ def fit_quality(docs: DataFrame, sample: int = SAMPLE) -> tuple[Labels, np.ndarr
         for r in texts.select("code", packed(F.col("text")).alias("x")).toLocalIterator():
             rows.append((np.frombuffer(r["x"], dtype=np.float32), belief[r["code"]]))
     x = np.stack([r[0] for r in rows]) if rows else np.zeros((0, FEATURES), dtype=np.float32)
-    return labels, fit_scorer(x, np.asarray([r[1] for r in rows]))
+    y = np.asarray([r[1] for r in rows])
+    rows.clear()
+    return labels, fit_scorer(x, y)
 
 
 def classify(docs: DataFrame, sample: int = SAMPLE, cut: float = CUT) -> DataFrame:
