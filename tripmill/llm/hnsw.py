@@ -178,7 +178,9 @@ def links_at(graph: SmallWorld, exact: np.ndarray, queries: np.ndarray, threshol
     while len(rows):
         beam = min(beam, n)
         again = []
-        step = max(16, min(512, (1 << 21) // beam, (1 << 23) // n))
+        # A step gathers the neighbours of all nodes that it expands: 32 MB of them at most.
+        gathered = 2 * LINKS * max(_WIDTH, beam // 8) * exact.shape[1]
+        step = max(4, min(512, (1 << 21) // beam, (1 << 23) // n, (1 << 23) // gathered))
         for at in range(0, len(rows), step):
             own = rows[at:at + step]
             nodes, sims = graph.search(low[own], beam)
