@@ -201,6 +201,12 @@ def test_moving_average_counts_rows_not_days(spark):
         op.moving_average(spark.range(3), "id", {"ma": "id"})
 
 
+def test_moving_average_refuses_rows_that_are_not_rolled_up(spark):
+    raw = spark.range(100).select(F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") % 9).cast("int")).alias("d"), "id")
+    with pytest.raises(Exception, match="roll up per day"):
+        op.moving_average(raw, "d", {"ma": "id"}).collect()
+
+
 def test_dedup_is_deterministic(spark, rows):
     df = spark.createDataFrame(
         [(1, "b", 2), (1, "a", 2), (1, "c", 1), (2, "z", 5), (None, "q", 1), (None, "p", 1)],

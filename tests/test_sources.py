@@ -86,6 +86,22 @@ def test_union_by_name_keeps_folder_columns(spark, tmp_path, rows):
     assert rows(df.select("year_month", "a")) == [(202401, 1), (202402, 2), (202403, 3)]
 
 
+def test_union_by_name_keeps_columns_of_single_files(spark, tmp_path, rows):
+    for sql in ("SELECT 1 a, 2 b", "SELECT 3 a, 4 c", "SELECT 5L a"):
+        spark.sql(sql).write.mode("append").parquet(f"{tmp_path}/m1")
+    spark.sql("SELECT 6L a, 7 d").write.parquet(f"{tmp_path}/m2")
+    df = sources.read_union_by_name(spark, f"{tmp_path}/*").select("a", "b", "c", "d")
+    assert df.schema["a"].dataType == T.LongType()
+    assert rows(df) == [(1, 2, None, None), (3, None, 4, None), (5, None, None, None), (6, None, None, 7)]
+
+
+def test_union_by_name_refuses_types_without_a_common_one(spark, tmp_path):
+    spark.sql("SELECT true a").write.parquet(f"{tmp_path}/m1")
+    spark.sql("SELECT 7 a").write.parquet(f"{tmp_path}/m2")
+    with pytest.raises(TypeError, match="no common type"):
+        sources.read_union_by_name(spark, f"{tmp_path}/*")
+
+
 def test_load_typed_refuses_overflow(spark):
     narrow = T.StructType([T.StructField("n", T.ShortType())])
     df = spark.sql("SELECT 70000L n")

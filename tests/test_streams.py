@@ -122,6 +122,33 @@ def test_upsert_keeps_the_newest_row_of_each_key(spark, tmp_path, rows):
     assert rows(st.read_upserted(spark, path, ["k"])) == [("a", 2), ("b", 9), ("c", 2)]
 
 
+def test_upsert_goes_by_batch_whatever_the_clock(spark, tmp_path, rows):
+    path = str(tmp_path / "table")
+    for batch_id, v, written in [(0, 1, "2025-10-01 09:00:00"), (1, 2, "2025-10-01 08:00:00")]:
+        batch = spark.createDataFrame([("a", v)], "k string, v int")
+        st.append_sink(path)(batch.withColumn("_written_at", F.lit(written).cast("timestamp")), batch_id)
+    assert rows(st.read_upserted(spark, path, ["k"])) == [("a", 2)]
+    assert rows(st.read_upserted(spark, path, [])) == [("a", 2)]
+
+
+def test_end_of_input_closes_every_window_and_adds_none(spark, topic):
+    topic.send((at("08:00:01"), 1, 1.0), (at("08:04:59"), None, 1.0))
+    topic.send((at("08:20:00"), 2, 1.0), ("never", 2, 1.0))
+    end = st.end_of_input(st.read_topic(spark, MESSAGE, path=str(topic.root)), "at", "5 minutes").first()
+    assert (end.at, end.zone, end.tip) == (at("08:25:06"), None, None)
+    topic.send(tuple(end))
+    counts = st.tumbling(topic.stream(spark), "event_time", "5 minutes", ["zone"])
+    st.run(counts, st.upsert_sink(topic.out), topic.checkpoint)
+    got = _counts_nulls(st.read_upserted(spark, topic.out, ["window_start", "zone"]))
+    assert got == {("08:00", 1, 1), ("08:00", None, 1), ("08:20", 2, 1)}
+    nothing = spark.createDataFrame([("never", 1, 1.0)], MESSAGE)
+    assert st.end_of_input(nothing, "at", "5 minutes").count() == 0
+
+
+def _counts_nulls(df):
+    return {(r.window_start.strftime("%H:%M"), r.zone, r.num_trips) for r in df.collect()}
+
+
 def test_repeated_append_batch_does_not_double(spark, tmp_path):
     sink = st.append_sink(str(tmp_path / "table"))
     for batch_id in (0, 1, 1):

@@ -18,14 +18,22 @@ def moving_average(
 ) -> DataFrame:
     """Mean over the last ``rows`` rows (not days), shorter at the start; ``columns`` maps new to old.
 
-    Meant for a daily roll-up, one row per day (and key). Without keys the frame runs in one task,
-    which is safe for that: ``day`` must be a date, and there are fewer than 3.7 million dates from
-    year 1 to 9999, so the group cannot grow with the trips.
+    Takes a daily roll-up; a second row of one day (and key) is refused when the query runs. Without
+    keys the frame runs in one task, which is safe for that: ``day`` must be a date, rows are grouped
+    per day before they get there, and there are fewer than 3.7 million dates from year 1 to 9999.
     """
     if not isinstance(daily.schema[day].dataType, T.DateType):
         raise TypeError(f"{day} must be a date: roll up per day first")
+    rest = [c for c in daily.columns if c != day and c not in keys]
+    once = daily.groupBy(*keys, day).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in rest]
+    )
+    single = F.when(F.col("_n") == 1, F.col(day)).otherwise(
+        F.raise_error(F.lit(f"moving_average: more than one row of one {day}; roll up per day first"))
+    )
+    once = once.withColumn(day, single).select(*daily.columns)
     frame = Window.partitionBy(*keys).orderBy(day).rowsBetween(1 - rows, 0)
-    return daily.withColumns({new: F.avg(old).over(frame) for new, old in columns.items()})
+    return once.withColumns({new: F.avg(old).over(frame) for new, old in columns.items()})
 
 
 def share_of_total(df: DataFrame, c: str, name: str = "share") -> DataFrame:

@@ -69,6 +69,21 @@ def union_by_name_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority "
+    "FROM orders"
+)
+def union_by_name_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder with an append of narrow keys and one of wide keys, which alone has a third column."""
+    path = shared_dir(spark, "orders")
+    orders = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderpriority"])
+    narrow = orders.filter("o_custkey % 2 = 0").drop("o_orderpriority")
+    narrow.withColumn("o_custkey", F.col("o_custkey").cast("int")).write.parquet(path)
+    wide = orders.filter("o_custkey % 2 = 1").withColumn("o_custkey", F.col("o_custkey").cast("long"))
+    wide.write.mode("append").parquet(path)
+    return sources.read_union_by_name(spark, path).select(*orders.columns)
+
+
 @query(
     "SELECT CAST(l_suppkey AS INTEGER) AS l_suppkey, CAST(l_linenumber AS SMALLINT) AS l_linenumber, "
     "l_shipdate, CAST(l_quantity AS FLOAT) AS l_quantity FROM lineitem"

@@ -107,3 +107,49 @@ def closed_in_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     timed = st.with_event_time(messages, "ts")
     counts = st.tumbling(timed, "event_time", "5 minutes", ["event_type"])
     return st.closed_windows(counts, timed, "event_time", "window_end")
+
+
+def _completed(spark: SparkSession, sf_dir: str, wait: str) -> DataFrame:
+    """The stream with the message that ends it."""
+    path = _published(spark, sf_dir)
+    end = st.end_of_input(st.read_topic(spark, _MESSAGE, path=path), "ts", wait)
+    sinks.publish_json(
+        op.to_message(end, texts=["ts", "event_type"], doubles=["value"]), path
+    )
+    return st.with_event_time(st.stream_trips(spark, _MESSAGE, path=path), "ts")
+
+
+@query(tumbling_sql(_SECONDS))
+def stream_tumbling_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every window of a bounded stream, the last ones too."""
+    out = shared_dir(spark, "window-counts")
+    stream = _completed(spark, sf_dir, "5 minutes")
+    st.run(
+        st.tumbling(stream, "event_time", "5 minutes", ["event_type"]),
+        st.upsert_sink(out), shared_dir(spark, "checkpoint"),
+    )
+    rows = st.read_upserted(spark, out, ["window_start", "event_type"])
+    return _zone_free(rows, "window_start", "window_end")
+
+
+@query(sessions_sql(_SECONDS))
+def stream_session_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shared_dir(spark, "sessions")
+    found = st.sessions(_completed(spark, sf_dir, "5 minutes"), "event_time", "5 minutes", ["event_type"])
+    st.run(found, st.append_sink(out), shared_dir(spark, "checkpoint"))
+    return _zone_free(st.read_appended(spark, out), "session_start", "session_end")
+
+
+@query(
+    "SELECT window_start, window_end, round(total_tip_amount, 2) AS total_tip_amount "
+    f"FROM ({hourly_sql(_SECONDS)})"
+)
+def stream_hourly_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shared_dir(spark, "hourly")
+    tips = st.tumbling(
+        _completed(spark, sf_dir, "1 hour"), "event_time", "1 hour",
+        aggs={"total_tip_amount": ("sum", "value")},
+    )
+    st.run(tips, out, shared_dir(spark, "checkpoint"))
+    rows = _zone_free(spark.read.parquet(out), "window_start", "window_end")
+    return rows.withColumn("total_tip_amount", F.round("total_tip_amount", 2))

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JJavaError
+from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -106,52 +105,83 @@ def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
     times = (T.DateType, T.TimestampType, T.TimestampNTZType)
     if isinstance(a, times) and isinstance(b, times):
         return T.TimestampNTZType()
-    return T.StringType()
+    text = (T.StringType, *map(type, _WIDTH), T.DecimalType, *times)
+    if T.StringType() in (a, b) and isinstance(a, text) and isinstance(b, text):
+        return T.StringType()
+    raise TypeError(f"no common type of {a.simpleString()} and {b.simpleString()}")
 
 
-def _parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _parquet(spark: SparkSession, paths: Sequence[str], merge: bool = False) -> DataFrame:
     """Folders of one table; names such as ``year_month=202401`` in the path become columns."""
     parts = paths[0].split("/")
     named = next((i for i, part in enumerate(parts) if "=" in part), None)
-    reader = spark.read.option("basePath", "/".join(parts[:named])) if named else spark.read
+    reader = spark.read.option("mergeSchema", merge)
+    reader = reader.option("basePath", "/".join(parts[:named])) if named else reader
     return reader.parquet(*paths)
 
 
-def _by_schema(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
-    """Paths grouped by equal Parquet schema, so that a union needs one scan per schema, not per path.
+def _condition(error: Exception) -> str:
+    """Spark's name of the error, however it was raised."""
+    if isinstance(error, PySparkException):
+        return error.getCondition() or ""
+    cause = error.java_exception
+    while cause is not None:
+        name = getattr(cause, "getCondition", None)
+        try:
+            if name is not None and (found := name()):
+                return found
+        except Py4JError:  # this cause has no condition
+            pass
+        cause = cause.getCause()
+    return ""
 
-    Only paths below the same table folder share a group.
+
+def _mergeable(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files in groups whose footers merge, with the merged schema.
+
+    Each try reads footers in one parallel job. Halves of a list that does not merge are tried again,
+    so the number of jobs grows with the number of places where a type changes.
     """
-    with ThreadPoolExecutor(16) as pool:
-        schemas = list(pool.map(lambda path: _parquet(spark, [path]).schema, paths))
-    groups: dict[tuple[str, str], tuple[T.StructType, list[str]]] = {}
-    for path, schema in zip(paths, schemas):
-        table = path.partition("=")[0] if "=" in path else ""
-        groups.setdefault((table, schema.json()), (schema, []))[1].append(path)
-    return list(groups.values())
+    try:
+        return [(_parquet(spark, files, merge=True).schema, list(files))]
+    except (PySparkException, Py4JJavaError) as error:  # Spark raises one or the other here
+        if len(files) == 1 or not _condition(error).startswith("CANNOT_MERGE"):
+            raise
+    middle = len(files) // 2
+    return _mergeable(spark, files[:middle]) + _mergeable(spark, files[middle:])
+
 
+def _by_schema(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Groups of files that merge, as few as equal schemas allow: a union needs one scan per group.
 
-def _folders(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The files of the paths; files that one Spark write left in a folder count as that folder."""
-    files = (f for p in paths for f in spark.read.parquet(p).inputFiles())
-    split = (f.rpartition("/") for f in files)
-    return sorted({head if name.startswith("part-") else f"{head}/{name}" for head, _, name in split})
+    Only files below the same table folder share a group.
+    """
+    tables: dict[str, list[str]] = {}
+    for file in files:
+        tables.setdefault(file.partition("=")[0] if "=" in file else "", []).append(file)
+    groups: dict[tuple[str, str], tuple[T.StructType, list[str]]] = {}
+    for name, members in tables.items():
+        for schema, part in _mergeable(spark, members):
+            groups.setdefault((name, schema.json()), (schema, []))[1].extend(part)
+    return list(groups.values())
 
 
 def read_union_by_name(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """All rows of many Parquet paths, columns matched by name, absent ones NULL.
 
     Footers are merged by one parallel job and the result is one scan. Only if a column has different
-    types in different files is that refused; the paths are then read per schema and the column
-    widened to a common type, text at worst.
+    types in different files is that refused; files are then read in groups that do merge, and the
+    column is widened: numbers to a wider number, times to a time. A number beside a text becomes text;
+    any other mixture, such as a truth value beside a number, is refused.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     try:
         return spark.read.option("mergeSchema", True).parquet(*paths)
     except (PySparkException, Py4JJavaError) as error:  # Spark raises one or the other here
-        if "CANNOT_MERGE" not in str(error):
+        if not _condition(error).startswith("CANNOT_MERGE"):
             raise
-    groups = _by_schema(spark, _folders(spark, paths))
+    files = sorted({f for p in paths for f in spark.read.parquet(p).inputFiles()})
+    groups = _by_schema(spark, files)
     target: dict[str, T.StructField] = {}
     for schema, _ in groups:
         for f in schema.fields:
@@ -159,7 +189,9 @@ def read_union_by_name(spark: SparkSession, paths: str | Sequence[str]) -> DataF
             kind = _common_type(known.dataType, f.dataType)
             target[f.name.lower()] = T.StructField(known.name, kind)
     common = T.StructType(list(target.values()))
-    return union_trips(*[keep(_parquet(spark, members), common) for _, members in groups])
+    return union_trips(
+        *[keep(_parquet(spark, members, merge=True), common) for _, members in groups]
+    )
 
 
 def load_typed(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from tripmill.streaming.eventtime import (
     closed_windows,
+    end_of_input,
     sessions,
     tumbling,
     unparsed_times,
@@ -13,6 +14,7 @@ from tripmill.streaming.sources import read_topic, running_counts, stream_trips
 __all__ = [
     "append_sink",
     "closed_windows",
+    "end_of_input",
     "read_appended",
     "read_topic",
     "read_upserted",

@@ -133,3 +133,25 @@ def closed_windows(
     """
     newest = rows.agg(F.max(time).alias("newest")).scalar()
     return windows.filter(F.col(end) <= newest - F.expr(f"INTERVAL {delay}"))
+
+
+def end_of_input(
+    messages: DataFrame, time: str, wait: str, delay: str = "5 seconds", fmt: str = MESSAGE_TIME
+) -> DataFrame:
+    """The message that completes a bounded input: published last, it closes every window before it.
+
+    Its time lies ``wait`` (the size of windows or the gap of sessions), ``delay`` and one second after
+    the newest of ``messages``; all other columns are NULL. Its own window or session never closes, so
+    it is in no result. Rows that are sent after it are late. Without a readable time there is nothing
+    to close and no message.
+    """
+    after = F.expr(f"INTERVAL {wait}") + F.expr(f"INTERVAL {delay}") + F.expr("INTERVAL 1 second")
+    newest = messages.agg(F.max(parse_time(time, fmt)).alias("_newest")).filter("_newest IS NOT NULL")
+    return newest.select(
+        *[
+            F.date_format(F.col("_newest") + after, fmt).alias(f.name)
+            if f.name == time
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in messages.schema.fields
+        ]
+    )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,18 +54,21 @@ def read_appended(spark: SparkSession, path: str) -> DataFrame:
 def read_upserted(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The newest row of each key. Without keys the table has one row, the newest of all.
 
-    Each task keeps one row per key before the shuffle (WindowGroupLimit, or a top-1 without keys).
+    Within a stream a later batch is newer, whatever clock its driver had; between streams the time
+    of writing decides. Each task keeps one row per key and stream before the shuffle
+    (WindowGroupLimit, or a top-1 without keys).
     """
-    rows = spark.read.parquet(path)
-    newest = [F.desc(_WRITTEN), F.desc("batch_id"), F.asc("stream")]
-    if keys:
-        frame = Window.partitionBy(*keys).orderBy(*newest)
-        rows = rows.withColumn("_rank", F.row_number().over(frame)).filter("_rank = 1").drop("_rank")
-    else:
-        rows = rows.orderBy(*newest).limit(1)
+    rows = _first(spark.read.parquet(path), [*keys, "stream"], [F.desc("batch_id")])
+    between = [F.desc(_WRITTEN), F.asc("stream")]
+    rows = _first(rows, keys, between) if keys else rows.orderBy(*between).limit(1)
     return rows.drop(_WRITTEN, "stream", "batch_id")
 
 
+def _first(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    frame = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("_rank", F.row_number().over(frame)).filter("_rank = 1").drop("_rank")
+
+
 def run(
     stream: DataFrame,
     sink: BatchSink | str,
