@@ -181,6 +181,35 @@ def test_convert_months_with_other_headers(spark, tmp_path):
     assert [(r.base, r.n, r.flag) for r in got] == [("B1", 10, None), ("B2", 20, None), ("B3", 30, "x")]
 
 
+def test_convert_keeps_the_types_of_the_target(spark, tmp_path):
+    landed, target = tmp_path / "csv", str(tmp_path / "parquet")
+    landed.mkdir()
+
+    def land(month, text):
+        (landed / f"fhv_tripdata_2019-{month:02d}.csv").write_text(text)
+
+    months = [(2019, m) for m in range(1, 13)]
+    land(1, "base,n\nB1,10\n")
+    sinks.convert_months(spark, str(landed), target, "fhv", months)
+    land(2, "base,n,m\nB2,20,7\n")
+    assert sinks.convert_months(spark, str(landed), target, "fhv", months) == [201902]
+    land(3, "base,n\nB3,many\n")
+    with pytest.raises(Exception):
+        sinks.convert_months(spark, str(landed), target, "fhv", months)
+    got = spark.read.option("mergeSchema", True).parquet(target).orderBy("n").collect()
+    assert [(r.base, r.n, r.m) for r in got] == [("B1", 10, None), ("B2", 20, 7)]
+
+
+def test_convert_refuses_months_that_differ_before_writing(spark, tmp_path):
+    landed, target = tmp_path / "csv", tmp_path / "parquet"
+    landed.mkdir()
+    (landed / "fhv_tripdata_2019-01.csv").write_text("base,n\nB1,10\n")
+    (landed / "fhv_tripdata_2019-02.csv").write_text("n,base\nmany,B2\n")
+    with pytest.raises(ValueError, match="declare a schema"):
+        sinks.convert_months(spark, str(landed), str(target), "fhv", [(2019, 1), (2019, 2)])
+    assert not target.exists()
+
+
 def test_shared_dir_is_the_clusters(spark):
     parent = spark.conf.get("spark.checkpoint.dir")
     a, b = shared_dir(spark, "x"), shared_dir(spark, "x")

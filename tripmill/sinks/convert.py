@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,9 +27,10 @@ def convert_months(
 
     Each month becomes the folder ``target/year_month=N``. It counts as converted when the job that
     wrote it has committed and left a mark below ``target/_converted``; a run stopped before that is
-    done again by the next, which replaces the folder. All missing months are one Spark job, a gzip
-    file per task; if their header lines turn out to differ, one job per distinct header. Types are
-    declared by ``schema`` or found from the data.
+    done again by the next, which replaces the folder. The missing months of one header line are one
+    Spark job, a gzip file per task. Types are declared by ``schema``, else those that the target has;
+    a value that does not fit fails its job before that commits. Only for a new target, and for columns
+    that it lacks, they are found from the data; months that then differ are refused before any write.
     """
     landed = set(child_names(spark, source))
     marks = f"{target.rstrip('/')}/_converted"
@@ -45,13 +44,14 @@ def convert_months(
             todo[number] = f"{source.rstrip('/')}/{found}"
     if not todo:
         return []
-    try:
-        _convert(spark, list(todo.values()), target, kind, schema)
-    except (PySparkException, Py4JJavaError) as error:
-        if "CSV header" not in str(error):
-            raise
-        for paths in _alike(spark, list(todo.values())):
-            _convert(spark, paths, target, kind, schema)
+    groups = _alike(spark, list(todo.values()))
+    kinds = schema
+    if kinds is None and done:
+        kinds = spark.read.option("mergeSchema", True).parquet(target).drop(MONTH).schema
+    frames = [_read(spark, paths, kinds, declared=schema is not None) for paths in groups]
+    _agree(frames)
+    for df in frames:
+        _write(df, kind, target)
     with ThreadPoolExecutor(16) as pool:
         list(pool.map(lambda number: mark(spark, f"{marks}/{number}"), todo))
     return sorted(todo)
@@ -67,11 +67,28 @@ def _alike(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
     return list(groups.values())
 
 
-def _convert(
-    spark: SparkSession, paths: Sequence[str], target: str, kind: str, schema: T.StructType | None
-) -> None:
-    df = read_trips_csv(spark, paths, schema) if schema else read_csv_inferred(spark, paths)
-    _write(df, kind, target)
+def _read(
+    spark: SparkSession, paths: Sequence[str], kinds: T.StructType | None, declared: bool
+) -> DataFrame:
+    """CSV in the given types; columns of the header that these lack are kept unless ``declared``."""
+    if kinds is None:
+        return read_csv_inferred(spark, paths)
+    if declared:
+        return read_trips_csv(spark, paths, kinds)
+    names = {f.name.lower() for f in kinds.fields}
+    surplus = [c for c in csv_header(spark, paths) if c.lower() not in names]
+    if surplus:
+        found = read_csv_inferred(spark, paths).select(*surplus).schema
+        kinds = T.StructType([*kinds.fields, *found.fields])
+    return read_trips_csv(spark, paths, kinds)
+
+
+def _agree(frames: Sequence[DataFrame]) -> None:
+    """Refuse, before anything is written, a column that has different types in different months."""
+    types: dict[str, T.DataType] = {}
+    for f in (f for df in frames for f in df.schema.fields):
+        if types.setdefault(f.name.lower(), f.dataType) != f.dataType:
+            raise ValueError(f"{f.name} has different types in different months: declare a schema")
 
 
 def _write(df: DataFrame, kind: str, target: str) -> None:
