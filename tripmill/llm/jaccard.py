@@ -25,6 +25,8 @@ ENTRIES = 1 << 20
 HEAVY, PARTS = 16, 32
 #: Position blocks per list block.
 BLOCKS = 16
+#: Bits of a set's sketch for each of its shingles, before rounding up to a power of two.
+SKETCH = 4
 
 _U = np.uint64
 _ENTRY = np.dtype([("token", "<u8"), ("sid", "<i8"), ("n", "<i4"), ("pos", "<i4")])
@@ -63,6 +65,27 @@ def signature(shingles: np.ndarray) -> tuple[int, int]:
     return int(mixed[0]), int(mixed[1])
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity bits of a set, 64 to a word: bit i says whether an odd number of shingles have i in their top bits."""
+    bits = max(6, math.ceil(math.log2(SKETCH * max(len(shingles), 1))))
+    odd = np.bincount((shingles >> _U(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint8) & 1
+    return np.packbits(odd).view(_U)
+
+
+def folded_sketch(bits: np.ndarray, size: int) -> np.ndarray:
+    """The same set's sketch in ``size`` words: neighbours of equal top bits fall together, and parities add up."""
+    data = np.unpackbits(bits.view(np.uint8))
+    return np.packbits(np.bitwise_xor.reduce(data.reshape(size * 64, -1), axis=1)).view(_U)
+
+
+def most_shared(x: np.ndarray, y: np.ndarray, nx: int, ny: int) -> int:
+    """An upper bound of two sets' overlap: every bit that differs stands for a shingle that only one of them has."""
+    size = min(len(x), len(y))
+    x, y = (v if len(v) == size else folded_sketch(v, size) for v in (x, y))
+    apart = int(np.bitwise_count(x ^ y).sum())
+    return min(nx, ny, (nx + ny - apart) // 2)
+
+
 def _slices(cells: np.ndarray) -> pa.RecordBatch:
     held = [(i, zlib.compress(x.tobytes(), 1)) for i, x in enumerate(cells.reshape(-1, SLICE)) if x.any()]
     return pa.RecordBatch.from_arrays(
@@ -89,18 +112,23 @@ def add_up(slices: DataFrame) -> np.ndarray:
 
 
 def _survey(words: int) -> Callable:
-    """Per document its set's size and hashes, and per task how often shingles fall in each cell."""
+    """Per document its set's size and hashes, with a sketch where the task meets the set first; and per task
+    how often shingles fall in each cell.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, dtype=np.uint32)
-        names = ["doc_id", "n", "s1", "s2", "slice", "cells"]
+        names = ["doc_id", "n", "s1", "s2", "sketch", "slice", "cells"]
+        drawn: set[int] = set()
         for batch in batches:
-            n, s1, s2, waiting, held = [], [], [], [], 0
+            n, s1, s2, sketches, waiting, held = [], [], [], [], [], 0
             for _, shingles in document_sets(batch.column("text"), words):
                 a, b = signature(shingles)
                 n.append(len(shingles))
                 s1.append(a)
                 s2.append(b)
+                sketches.append(sketch(shingles).tobytes() if len(shingles) and a not in drawn else None)
+                drawn.add(a)
                 waiting.append(shingles)
                 held += len(shingles)
                 if held > CELLS:
@@ -110,10 +138,10 @@ def _survey(words: int) -> Callable:
                 cells += np.bincount((np.concatenate(waiting) & _U(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names)
+                 pa.array(sketches, pa.binary()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names)
         own = _slices(cells)
         k = len(own)
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(4)), *own.columns], names)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(4)), pa.nulls(k, pa.binary()), *own.columns], names)
 
     return run
 
@@ -220,13 +248,32 @@ def _prefix_size(n: Column, percent: int) -> Column:
 
 # ---- overlaps --------------------------------------------------------------------------------
 
+def limits(sketches: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, na, nb) with ``most``, an upper bound of the overlap, from the sketches (sid, sketch) of all sets."""
+
+    def bound(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = [
+                most_shared(np.frombuffer(x.as_buffer(), dtype=_U), np.frombuffer(y.as_buffer(), dtype=_U), nx, ny)
+                for x, y, nx, ny in zip(batch.column("x"), batch.column("y"), batch.column("na").to_pylist(),
+                                        batch.column("nb").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(most, pa.int64())], ["a", "b", "na", "nb", "most"])
+
+    named = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+    held = stash(sketches.join(named, "sid", "left_semi").dropDuplicates(["sid"]), "sketches")
+    both = pairs.select("a", "b", "na", "nb").join(held.select(F.col("sid").alias("a"), F.col("sketch").alias("x")), "a").join(
+        held.select(F.col("sid").alias("b"), F.col("sketch").alias("y")), "b")
+    return both.mapInArrow(bound, "a long, b long, na int, nb int, most long")
+
+
 def overlaps(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     """(a, b, shared) of pairs of set hashes, counted on the whole sets.
 
     Only sets that some pair names leave the tasks that read the texts; which ones is told by
     CELLS marks, a superset at any size.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid"))
+    wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid")))
 
     def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, dtype=np.uint32)
@@ -286,10 +333,11 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
        documents in a fixed number of cells. Any order gives whole results; counts keep lists short.
     3. Every set is compared with the leader of each of its lists, the most central set there, so a
        list costs its length, not its square. What links is one class.
+       A pair's overlap is counted on the whole sets unless their sketches, kept from step 1, prove it too small.
     4. Only sets of different classes are compared further. Lists are cut into blocks by size and
        position, and blocks that can't hold a partner are skipped. For a pair met in a list, the
-       overlaps of both with the leader, already computed, bound their own overlap from both sides:
-       most pairs are refused or linked by that alone, the rest are counted.
+       overlaps of both with the leader, already computed or bounded, bound their own overlap from both sides:
+       most pairs are refused or linked by that alone, others are refused by sketches, the rest are counted.
 
     Sets are told apart by 64 bits of hash (and copies by 128), so n sets are mixed up with a chance of about
     n * n / 2**65.
@@ -301,9 +349,10 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     docs = require(docs, ["doc_id", "text"])
     spark = docs.sparkSession
     survey = stash(docs.mapInArrow(
-        _survey(words), "doc_id long, n long, s1 long, s2 long, slice int, cells binary"), "sets-survey")
+        _survey(words), "doc_id long, n long, s1 long, s2 long, sketch binary, slice int, cells binary"), "sets-survey")
     cells = add_up(survey.where(F.col("slice").isNotNull()).select("slice", "cells"))
     known = survey.where(F.col("slice").isNull()).select("doc_id", "n", "s1", "s2")
+    sketches = survey.where(F.col("sketch").isNotNull()).select(F.col("s1").alias("sid"), "sketch")
     nodes = known.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("s1", "s2", "n").agg(
         F.min("doc_id").alias("node"), F.count("*").alias("n_copies"))
     entries = known.agg(F.sum(_prefix_size(F.col("n"), percent))).first()[0] or 0
@@ -329,8 +378,12 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     stars = stars.groupBy(F.col("leader").alias("a"), F.col("sid").alias("b")).agg(
         F.first("leader_n").alias("na"), F.first("n").alias("nb"))
     stars = stash(stars, "stars")
-    known_overlaps = stash(overlaps(docs, stars.select("a", "b"), words).join(stars, ["a", "b"]), "overlaps")
-    linked = F.col("shared") >= _needed(F.col("na"), F.col("nb"), percent)
+    need = _needed(F.col("na"), F.col("nb"), percent)
+    stars = stash(limits(sketches, stars), "limits")
+    likely = stars.where(F.col("most") >= need)
+    counted = overlaps(docs, likely.select("a", "b"), words)
+    known_overlaps = stash(stars.join(counted, ["a", "b"], "left"), "overlaps")
+    linked = F.col("shared") >= need
     links = known_overlaps.where(linked).select("a", "b")
     classes = connected(links).checkpoint()
 
@@ -339,14 +392,18 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     classed = lists.join(member, "sid", "left").withColumn("class", F.coalesce("component", "sid")).drop("component")
     mixed = classed.groupBy("token").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("token")
     open_lists = classed.join(mixed, "token", "left_semi")
-    told = known_overlaps.select(F.col("a").alias("leader"), F.col("b").alias("sid"), "shared")
-    open_lists = open_lists.join(told, ["leader", "sid"], "left").withColumn(
-        "shared", F.when(F.col("sid") == F.col("leader"), F.col("n").cast("long")).otherwise(F.col("shared")))
+    # What each set shares with the leader of its list, at least and at most.
+    told = known_overlaps.select(
+        F.col("a").alias("leader"), F.col("b").alias("sid"), F.coalesce("shared", F.lit(0).cast("long")).alias("least"),
+        F.coalesce("shared", "most").alias("most"))
+    whole, leads = F.col("n").cast("long"), F.col("sid") == F.col("leader")
+    open_lists = open_lists.join(told, ["leader", "sid"], "left").withColumns(
+        {c: F.when(leads, whole).otherwise(F.col(c)) for c in ("least", "most")})
     pairs = _across(stash(open_lists, "open-lists"), percent)
     pairs = stash(pairs, "pairs")
     sure = pairs.where("sure").select("a", "b")
-    counted = overlaps(docs, pairs.where("not sure").select("a", "b"), words).join(pairs, ["a", "b"])
-    more = counted.where(linked).select("a", "b").unionByName(sure)
+    likely = stash(limits(sketches, pairs.where("not sure")).where(F.col("most") >= need), "likely")
+    more = overlaps(docs, likely.select("a", "b"), words).join(likely, ["a", "b"]).where(linked).select("a", "b").unionByName(sure)
     classes = connected(links.unionByName(more))
 
     # From sets to documents: a component's name is its smallest document.
@@ -374,7 +431,7 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
     ratio = 4 / 3
     block = F.floor(F.col("pos") * BLOCKS / F.col("n")).cast("int")
     blocked = lists.select(
-        "token", "sid", "n", "pos", "class", "leader_n", "shared", _band(F.col("n")).alias("band"), block.alias("block"))
+        "token", "sid", "n", "pos", "class", "leader_n", "least", "most", _band(F.col("n")).alias("band"), block.alias("block"))
     width = BLOCKS * (100 - percent) // 100 + 1
     steps = 1 + math.ceil(math.log(100 / percent) / math.log(ratio) - 1e-9)
     visits = blocked.withColumn("band", F.explode(F.sequence(F.col("band"), F.col("band") + steps))).withColumn(
@@ -383,15 +440,15 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
     reach = F.lit(percent / (100 + percent)) * (F.col("n") + F.greatest(low, F.col("n").cast("double")))
     visits = visits.where(
         (F.col("n") - F.col("pos") >= reach - 1) & (high * (1 - F.col("block") / BLOCKS) >= reach - 1))
-    left = visits.select("token", "band", "block", *[F.col(c).alias(f"x_{c}") for c in ("sid", "n", "pos", "class", "shared")])
-    right = blocked.select("token", "band", "block", *[F.col(c).alias(f"y_{c}") for c in ("sid", "n", "pos", "class", "shared", "leader_n")])
+    left = visits.select("token", "band", "block", *[F.col(c).alias(f"x_{c}") for c in ("sid", "n", "pos", "class", "least", "most")])
+    right = blocked.select("token", "band", "block", *[F.col(c).alias(f"y_{c}") for c in ("sid", "n", "pos", "class", "least", "most", "leader_n")])
     once = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_sid") < F.col("y_sid")))
     met = left.join(right, ["token", "band", "block"]).where(
         once & (F.col("x_class") != F.col("y_class")) & _may_link(percent, "x_n", "x_pos", "y_n", "y_pos"))
     # Overlaps with the leader bound the overlap of the two.
-    most = F.least(F.col("x_shared") + F.col("y_n") - F.col("y_shared"), F.col("y_shared") + F.col("x_n") - F.col("x_shared"))
+    most = F.least(F.col("x_most") + F.col("y_n") - F.col("y_least"), F.col("y_most") + F.col("x_n") - F.col("x_least"))
     need = _needed(F.col("x_n"), F.col("y_n"), percent)
-    least = F.col("x_shared") + F.col("y_shared") - F.col("y_leader_n")
+    least = F.col("x_least") + F.col("y_least") - F.col("y_leader_n")
     met = met.where(F.coalesce(most >= need, F.lit(True))).withColumn("sure", F.coalesce(least >= need, F.lit(False)))
     return met.groupBy(F.col("x_sid").alias("a"), F.col("y_sid").alias("b")).agg(
         F.first("x_n").alias("na"), F.first("y_n").alias("nb"), F.max("sure").alias("sure"))
