@@ -148,3 +148,17 @@ def test_near_vectors(spark):
     assert {i: got[i] for i in range(len(x))} == {i: (count[i], comp[i], comp[i] == i) for i in range(len(x))}
     assert all(got[i] == (0, i, True) for i in range(900, 905)) and got[None] == (0, None, False)
     assert hnsw.near_dedup(df.limit(0)).count() == 0
+
+
+def test_sketches_never_refuse_a_link():
+    rng = np.random.default_rng(5)
+    for n in (1, 3, 40, 700):
+        for share in (0.0, 0.5, 0.9, 1.0):
+            x = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+            other = rng.integers(0, 1 << 64, 1 + n // 3, dtype=np.uint64)
+            y = np.unique(np.concatenate([x[: int(len(x) * share)], other]))
+            shared = len(np.intersect1d(x, y))
+            most = jaccard.most_shared(jaccard.sketch(x), jaccard.sketch(y), len(x), len(y))
+            assert shared <= most <= min(len(x), len(y))
+    alone = [np.unique(rng.integers(0, 1 << 64, 500, dtype=np.uint64)) for _ in range(2)]
+    assert jaccard.most_shared(*[jaccard.sketch(v) for v in alone], 500, 500) < 300

@@ -387,19 +387,17 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     links = known_overlaps.where(linked).select("a", "b")
     classes = connected(links).checkpoint()
 
-    # Lists that hold sets of more than one class.
+    # Lists whose sets beside the leader, which has met them all, are of more than one class.
     member = classes.select(F.col("node").alias("sid"), "component")
-    classed = lists.join(member, "sid", "left").withColumn("class", F.coalesce("component", "sid")).drop("component")
+    classed = lists.where(F.col("sid") != F.col("leader")).join(member, "sid", "left").withColumn("class", F.coalesce("component", "sid")).drop("component")
     mixed = classed.groupBy("token").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("token")
     open_lists = classed.join(mixed, "token", "left_semi")
     # What each set shares with the leader of its list, at least and at most.
     told = known_overlaps.select(
         F.col("a").alias("leader"), F.col("b").alias("sid"), F.coalesce("shared", F.lit(0).cast("long")).alias("least"),
         F.coalesce("shared", "most").alias("most"))
-    whole, leads = F.col("n").cast("long"), F.col("sid") == F.col("leader")
-    open_lists = open_lists.join(told, ["leader", "sid"], "left").withColumns(
-        {c: F.when(leads, whole).otherwise(F.col(c)) for c in ("least", "most")})
-    pairs = _across(stash(open_lists, "open-lists"), percent)
+    open_lists = stash(open_lists.join(told, ["leader", "sid"], "left"), "open-lists")
+    pairs = _across(open_lists, percent)
     pairs = stash(pairs, "pairs")
     sure = pairs.where("sure").select("a", "b")
     likely = stash(limits(sketches, pairs.where("not sure")).where(F.col("most") >= need), "likely")
