@@ -150,6 +150,38 @@ def test_near_vectors(spark):
     assert hnsw.near_dedup(df.limit(0)).count() == 0
 
 
+def _group_of_copies(n=200):
+    """Unit vectors that all link with each other."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=16) + 0.01 * rng.normal(size=(n, 16))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _without_inbound(x, nodes):
+    graph = hnsw.SmallWorld.build(x.astype(np.float32))
+    for links in graph.layers:
+        links[np.isin(links, nodes)] = -1
+    return graph
+
+
+def test_unreached_nodes_are_linked():
+    x = _group_of_copies()
+    entry = hnsw.SmallWorld.build(x.astype(np.float32)).entry
+    lost = (entry + 7) % len(x)
+    graph = _without_inbound(x, [lost])
+    assert graph.unreached().tolist() == [lost]
+    # One of 200 links is less than the audit allows to miss, yet each query has it.
+    assert {r: len(near) for r, near in hnsw.links_at(graph, x, x, hnsw.THRESHOLD)} == dict.fromkeys(range(len(x)), len(x))
+
+
+def test_failed_audit_at_the_widest_beam_compares_all(monkeypatch):
+    x = _group_of_copies()
+    entry = hnsw.SmallWorld.build(x.astype(np.float32)).entry
+    graph = _without_inbound(x, [(entry + j) % len(x) for j in range(1, 40)])
+    monkeypatch.setattr(hnsw.SmallWorld, "unreached", lambda self: np.zeros(0, dtype=int), raising=False)
+    assert {r: len(near) for r, near in hnsw.links_at(graph, x, x, hnsw.THRESHOLD)} == dict.fromkeys(range(len(x)), len(x))
+
+
 def test_sketches_never_refuse_a_link():
     rng = np.random.default_rng(5)
     for n in (1, 3, 40, 700):

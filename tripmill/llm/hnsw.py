@@ -160,7 +160,20 @@ class SmallWorld:
         near = np.full((len(queries), 1), self.entry)
         for k in range(len(self.layers) - 1, 0, -1):
             near, _ = self._search(queries, near, k, 1)
-        return self._search(queries, near, 0, beam)
+        # The entry starts as well, so that the widest beam finds all that can be reached from it.
+        return self._search(queries, np.concatenate([near, np.where(near == self.entry, -1, self.entry)], axis=1), 0, beam)
+
+    def unreached(self) -> np.ndarray:
+        """Nodes that no walk of the ground layer from the entry comes to: pruned links may leave a node without an inbound one."""
+        links = self.layers[0]
+        reached = np.zeros(len(self.units), dtype=bool)
+        front = np.array([self.entry])
+        while len(front):
+            reached[front] = True
+            near = np.unique(links[front])
+            near = near[near >= 0]
+            front = near[~reached[near]]
+        return np.flatnonzero(~reached)
 
 
 def links_at(graph: SmallWorld, exact: np.ndarray, queries: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
@@ -168,13 +181,15 @@ def links_at(graph: SmallWorld, exact: np.ndarray, queries: np.ndarray, threshol
 
     ``exact`` and ``queries`` are unit vectors in double precision. A query whose beam holds
     nothing below the threshold, and a block whose audit falls short, are searched again with a
-    beam four times as wide.
+    beam four times as wide. Nodes that no search can reach are compared with every query, and a
+    block whose audit falls short at the widest beam is compared with all nodes.
     """
     rows, beam, n = np.arange(len(queries)), BEAM, len(exact)
     low = queries.astype(np.float32)
     audited = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int))
     truth = queries[audited] @ exact.T >= threshold
     hits: dict[int, np.ndarray] = {}
+    lost = graph.unreached()
     while len(rows):
         beam = min(beam, n)
         again = []
@@ -185,17 +200,26 @@ def links_at(graph: SmallWorld, exact: np.ndarray, queries: np.ndarray, threshol
             own = rows[at:at + step]
             nodes, sims = graph.search(low[own], beam)
             full = (sims.min(axis=1) >= threshold - 1e-3) if beam < n else np.zeros(len(own), dtype=bool)
+            beside = queries[own] @ exact[lost].T >= threshold
             for i, r in enumerate(own):
                 near = nodes[i][sims[i] >= threshold - 1e-4]
                 hits[r] = near[exact[near] @ queries[r] >= threshold]
+                if len(lost):
+                    hits[r] = np.union1d(hits[r], lost[beside[i]])
                 if full[i]:
                     again.append(r)
-        if beam == n:
-            break
         held = sum(len(hits[r]) for r in audited)
         if held < RECALL * truth.sum():
+            if beam == n:
+                # No beam is wider: the block is compared with all nodes.
+                for at in range(0, len(queries), 128):
+                    for r, linked in enumerate(queries[at:at + 128] @ exact.T >= threshold, at):
+                        hits[r] = np.flatnonzero(linked)
+                break
             # The audit fails: all queries get the wider beam.
             again = np.arange(len(queries))
+        if beam == n:
+            break
         rows, beam = np.asarray(again, dtype=int), 4 * beam
     for i, r in enumerate(audited):
         hits[r] = np.flatnonzero(truth[i])
@@ -263,7 +287,8 @@ def near_dedup(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     from these edges.
 
     Searches repeat with wider beams until each block's audit by brute force shows a recall of
-    RECALL, so a link can be missed, but none below the threshold is made.
+    RECALL, and end with all pairs of the block if no beam does, so a link can be missed, but none
+    below the threshold is made. Nodes that a graph's links don't lead to are compared directly.
 
     A null label, and a vector that is null, empty, zero or holds a null or non-finite component,
     links with nothing. A null vec_id takes no part and has a null component_id and kept false.
