@@ -141,6 +141,29 @@ def test_main_text():
     assert html_text.main_text("plain words alone") == "plain words alone"
 
 
+def _prose(n, word="words"):
+    return [f"Sentence {i} of these {word}, with marks, as an article has them. It goes on, at some length." for i in range(n)]
+
+
+def _paragraphs(lines):
+    return "".join(f"<p>{x}</p>" for x in lines)
+
+
+@pytest.mark.parametrize("share", [5, 8, 15, 19])
+def test_selected_text_outside_the_largest_part_stays(share):
+    # No <article> or <main>: the first part holds most of the text, and the second is selected too.
+    lines = _prose(20)
+    page = f"<body><div id=content><h1>Title</h1><div>{_paragraphs(lines[:share])}</div><div>{_paragraphs(lines[share:])}</div></div></body>"
+    assert html_text.main_text(page).split("\n") == ["Title", *lines]
+
+
+@pytest.mark.parametrize("tag", ["section", "div", "pre"])
+def test_one_long_part_among_shorter_ones(tag):
+    parts = [" ".join(_prose(20)), *_prose(3)]
+    page = "<body><div><h2>Title</h2>" + "".join(f"<{tag}>{x}</{tag}>" for x in parts) + "</div></body>"
+    assert html_text.main_text(page).split("\n") == ["Title", *parts]
+
+
 def test_extraction_of_all_pages(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     for r in html_text.op3_tag_paths(spark, SF).collect():

@@ -36,6 +36,8 @@ _HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
          "option": ("option",)}
 _HOLDS = {"ul", "ol", "dl", "table", "article", "section", "div", "body", "tbody", "thead"}
+# Parts of a text, whose headings stand beside them.
+_PIECES = {"p", "li", "blockquote", "ul", "ol", "dl", "dt", "dd", "tr", "tbody", "thead", "tfoot", "table"}
 # Words in names of parts that surround an article.
 _AROUND = (
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner comment comments "
@@ -49,8 +51,6 @@ _HEADER_NAME = re.compile(r"(?:^|\s)(?:site-|page-)?(?:header|banner)(?=$|\s)",
 
 #: The threshold in standard deviations of the smoothed values, and at most in shares of the largest.
 DEVIATIONS, SHARE = 0.8, 0.4
-#: The share of selected text that the article's element holds.
-HELD = 0.7
 
 
 @dataclass
@@ -214,16 +214,18 @@ def main_text(page: str) -> str:
                 weight[node] += len(b.text)
             node = parents[node]
         chains.append(chain)
-    # The deepest element that holds nearly all selected text, and the article around it, if there is one.
-    holder = max((i for i in range(len(parents)) if weight[i] >= HELD * weight[0]), key=lambda i: (_depth(i, parents), i))
+    # The deepest element that holds all selected text, and the article around it, if there is one.
+    holder = max((i for i in range(len(parents)) if weight[i] == weight[0]), key=lambda i: (_depth(i, parents), i))
     node = holder
-    while node > 0:
-        if tags[node] in ("article", "main"):
-            holder = node
-            break
+    while node > 0 and tags[node] not in ("article", "main"):
         node = parents[node]
-    while tags[holder] in _INLINE or tags[holder] in _HEADING or tags[holder] in ("p", "li", "blockquote"):
-        holder = parents[holder]
+    if node > 0:
+        holder = node
+    else:
+        # Headings and short blocks stand beside an element that is itself the text.
+        leaf = all(b.element == holder for b in blocks if b.path in paths)
+        while holder > 0 and (leaf or tags[holder] in _INLINE or tags[holder] in _HEADING or tags[holder] in _PIECES):
+            holder, leaf = parents[holder], False
     kept = [b.text for b, chain in zip(blocks, chains, strict=True)
             if holder in chain and (b.path in paths or b.tag in _HEADING or b.linked < 0.5 * len(b.text))]
     return "\n".join(kept)
