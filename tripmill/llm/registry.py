@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import ctw, forest, hnsw, html_text, jaccard, lines, mixing, packing, quality, urls
+from tripmill.llm import ctw, forest, hnsw, html_text, jaccard, lines, mixing, packing, quality, resampling, spelling, urls
 
 QUERIES = {
     "op1_hnsw_dedup": hnsw.op1_hnsw_dedup,
@@ -15,9 +15,13 @@ QUERIES = {
     "op8_pareto_mix": mixing.op8_pareto_mix,
     "op9_url_filter": urls.op9_url_filter,
     "op10_forest_search": forest.op10_forest_search,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_bitslice_resample": resampling.op12_bitslice_resample,
 }
 
 ORACLES = {
     "op5_line_dedup": lines.OP5_SQL,
     "op9_url_filter": urls.OP9_SQL,
+    "op11_spelling_variants": spelling.OP11_SQL,
+    "op12_bitslice_resample": resampling.OP12_SQL,
 }
