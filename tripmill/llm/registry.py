@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import ctw, forest, hnsw, html_text, jaccard, lines, mixing, packing, quality, resampling, spelling, urls
+from tripmill.llm import ctw, forest, hnsw, html_text, jaccard, lines, mixing, packing, quality, resampling, spelling, toxicity, urls
 
 QUERIES = {
     "op1_hnsw_dedup": hnsw.op1_hnsw_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_forest_search": forest.op10_forest_search,
     "op11_spelling_variants": spelling.op11_spelling_variants,
     "op12_bitslice_resample": resampling.op12_bitslice_resample,
+    "op13_toxicity_neighbours": toxicity.op13_toxicity_neighbours,
 }
 
 ORACLES = {
