@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -103,3 +104,29 @@ def test_event_time_from_text(spark):
         datetime(2025, 10, 1, 8), None, None
     ]
     assert streaming.unparsed_times(df, "s").count() == 2
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(st.sampled_from(["a", None]), st.integers(-6, 30).map(lambda i: i * 150), st.integers(-5, 5)),
+        min_size=1, max_size=40,
+    ),
+    st.sampled_from([1, 2, 5]),
+)
+def test_sessions_across_forced_spans_equal_brute_force(spark, rows, cells):
+    df = streaming.eventtime._batch_sessions(_frame(spark, rows), "t", "5 minutes", ["k"], AGGS, span_cells=cells)
+    assert sorted((tuple(r) for r in df.collect()), key=str) == _brute_sessions(rows, 300)
+
+
+def test_a_hot_key_is_strung_in_spans(spark):
+    """One key, 20,000 sessions in 40,000 cells: no window sees more of it than a span, or the edges of spans."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") >= 0, "hot").alias("k"), (F.lit(BASE) + F.make_dt_interval(secs=F.col("id") * 700)).cast("timestamp_ntz").alias("t"))
+    found = streaming.sessions(rows, "t", "5 minutes", ["k"])
+    assert found.count() == 20_000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "_span" in plan and "_alone" in plan
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    # Keys alone partition nothing: each exchange also has the cell, the span or the session that stands alone.
+    assert dealt and all(len(re.findall(r"\w+#", by)) > 1 for by in dealt)

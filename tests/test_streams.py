@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tripmill import functions as X
 from tripmill import streaming as st
+from tripmill.storage import create_new
 
 MESSAGE = T.StructType(
     [
@@ -174,3 +175,184 @@ def test_continuous_trigger(spark, topic):
     finally:
         query.stop()
     assert _counts(st.read_appended(spark, topic.out)) == [("08:00", 1, 1)]
+
+
+# ---- what a stopped stream still holds -----------------------------------------------------------
+
+
+def test_emitted_and_held_are_complete_and_the_topic_stays(spark, topic, rows):
+    topic.send((at("08:00:01"), 1, 1.0), (at("08:04:59"), None, 2.0), ("never", 2, 1.0))
+    topic.send((at("08:20:00"), 2, 4.0), (at("08:21:00"), None, 8.0))
+    before = sorted(p.name for p in topic.root.iterdir())
+    aggs = {"n": ("count", None), "tips": ("sum", "tip"), "low": ("min", "tip"), "all_tips": ("sum", "tip")}
+    counts = st.tumbling(topic.stream(spark), "event_time", "5 minutes", ["zone"], aggs)
+    st.run(counts, st.append_sink(topic.out), topic.checkpoint)
+    held = st.held_windows(spark, topic.checkpoint, ["zone"], aggs)
+    assert held.count() == 2
+    whole = st.read_appended(spark, topic.out).unionByName(held)
+    batch = st.with_event_time(st.read_topic(spark, MESSAGE, path=str(topic.root)), "at")
+    wanted = st.tumbling(batch.filter("event_time IS NOT NULL"), "event_time", "5 minutes", ["zone"], aggs)
+    zone_free = whole.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+    assert rows(zone_free.select(*wanted.columns)) == rows(wanted)
+    assert sorted(p.name for p in topic.root.iterdir()) == before
+    # The stream goes on from its checkpoint, and emits what was held.
+    topic.send((at("08:40:00"), 1, 1.0))
+    st.run(st.tumbling(topic.stream(spark), "event_time", "5 minutes", ["zone"], aggs), st.append_sink(topic.out), topic.checkpoint)
+    assert st.read_appended(spark, topic.out).count() == 4
+    with pytest.raises(ValueError):
+        st.held_windows(spark, topic.checkpoint, ["zone"]).count()
+
+
+def test_held_sessions(spark, topic):
+    topic.send((at("08:00:00"), 1, 1.0), (at("08:30:00"), None, 2.0), (at("08:33:00"), None, 3.0))
+    aggs = {"n": ("count", None), "tips": ("sum", "tip")}
+    found = st.sessions(topic.stream(spark), "event_time", "5 minutes", ["zone"], aggs)
+    st.run(found, st.append_sink(topic.out), topic.checkpoint)
+    held = st.held_sessions(spark, topic.checkpoint, ["zone"], aggs)
+    got = [(r.session_start.strftime("%H:%M"), r.session_end.strftime("%H:%M"), r.zone, r.n, r.tips) for r in held.collect()]
+    assert got == [("08:30", "08:38", None, 2, 5.0)]
+
+
+# ---- late rows and dead letters ------------------------------------------------------------------
+
+
+def test_late_and_unreadable_rows_are_told_apart(spark, topic):
+    topic.send((at("08:00:01"), 1, 1.0), (at("08:30:00"), 1, 1.0))
+    topic.send((at("08:31:00"), 1, 1.0), ("never", 1, 1.0))
+    topic.send((at("08:03:00"), 1, 1.0), (at("08:03:10"), 1, 1.0), (at("08:04:00"), 2, 1.0))  # late: two groups
+
+    def go(log):
+        seen = st.observed(topic.stream(spark), F.col("event_time").isNull())
+        st.run(st.tumbling(seen, "event_time", "5 minutes", ["zone"]), st.append_sink(topic.out), topic.checkpoint, log=log)
+        return st.read_appended(spark, topic.out).unionByName(st.held_windows(spark, topic.checkpoint, ["zone"]))
+
+    first = st.ProgressLog()
+    windows = go(first)
+    assert (first.total("read_rows"), first.total("unreadable_rows"), first.total("late_groups")) == (7, 1, 2)
+    assert st.late_rows(first, windows) == 3
+    # A restart without new rows adds nothing; one with a late row adds that.
+    second = st.ProgressLog()
+    topic.send((at("08:01:00"), 9, 1.0))
+    both = st.ProgressLog.of([first, second])
+    windows = go(second)
+    both = st.ProgressLog.of([first, second])
+    assert st.late_rows(both, windows) == 4
+    report = both.rows(spark)
+    assert report.count() == len(both.batches) and report.filter("late_groups > 0").count() == 2
+
+
+def test_dead_letters(spark, tmp_path, rows):
+    (tmp_path / "topic").mkdir()
+    lines = ['{"at": "x", "zone": 1, "tip": 6.0}', '{"at": "x", "zo', '{"at": "x", "zone": 1, "tip": "far"}', "7", '{"zone": null}']
+    (tmp_path / "topic" / "a.json").write_text("".join(f"{line}\n" for line in lines))
+    good, dead = str(tmp_path / "good"), str(tmp_path / "dead")
+    stream = st.stream_trips(spark, MESSAGE, path=str(tmp_path / "topic"), corrupt="unread")
+    st.run(stream, st.dead_letter_sink(st.append_sink(good), st.append_sink(dead), "unread"), str(tmp_path / "c"))
+    assert rows(st.read_appended(spark, good)) == rows(spark.createDataFrame([("x", 1, 6.0), (None, None, None)], MESSAGE))
+    assert sorted(r.message for r in st.read_appended(spark, dead).collect()) == sorted(lines[1:4])
+    batch = st.read_topic(spark, MESSAGE, path=str(tmp_path / "topic"), corrupt="unread")
+    counted = st.running_counts(batch, X.greater_than("tip", 5.0), corrupt="unread").first()
+    assert tuple(counted) == (2, 1, 3)
+
+
+# ---- compaction ----------------------------------------------------------------------------------
+
+
+def _files(path):
+    return sum(name.endswith(".parquet") for _, _, names in os.walk(path) for name in names)
+
+
+def test_compaction_keeps_rows_and_bounds_files(spark, tmp_path, rows):
+    path = str(tmp_path / "table")
+    sink = st.upsert_sink(path, files=1, compact_every=4, keys=["k"])
+    most = 0
+    for n in range(30):
+        sink(spark.createDataFrame([("a", n), (f"k{n % 7}", n)], "k string, v int"), n)
+        most = max(most, _files(path))
+    # Two bases of one file each, and the batches since the switch before the last.
+    assert most <= 2 + 2 * 4
+    wanted = [("a", 29)] + [(f"k{i}", max(n for n in range(30) if n % 7 == i)) for i in range(7)]
+    assert rows(st.read_upserted(spark, path, ["k"])) == sorted(wanted)
+    st.compact(spark, path, ["k"], files=1)
+    base = spark.read.parquet(st.current_base(spark, path))
+    assert rows(base.select("k", "v")) == sorted(wanted)
+    assert st.compact(spark, path, ["k"]) == st.newest_version(spark, path)  # nothing new, nothing done
+
+
+def test_a_compaction_killed_half_way_changes_nothing(spark, tmp_path, rows, monkeypatch):
+    path = str(tmp_path / "table")
+    sink = st.upsert_sink(path)
+
+    def batch(n, *data):
+        sink(spark.createDataFrame(data, "k string, v int"), n)
+
+    batch(0, ("a", 1), ("b", 1))
+    st.compact(spark, path, ["k"])
+    batch(1, ("a", 2))
+    wanted = [("a", 2), ("b", 1)]
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    # Before the switch: the new base is there, but nobody reads it.
+    with monkeypatch.context() as m:
+        m.setattr(st.compaction, "create_new", killed)
+        with pytest.raises(RuntimeError):
+            st.compact(spark, path, ["k"])
+    assert st.newest_version(spark, path).number == 1
+    assert rows(st.read_upserted(spark, path, ["k"])) == wanted
+    # While the mark is written: an empty mark is none.
+    with monkeypatch.context() as m:
+        m.setattr(st.compaction, "create_new", lambda spark, where, text: (create_new(spark, where, ""), killed()))
+        with pytest.raises(RuntimeError):
+            st.compact(spark, path, ["k"])
+    assert st.newest_version(spark, path).number == 1
+    assert rows(st.read_upserted(spark, path, ["k"])) == wanted
+    # After the switch, before the cleaning.
+    with monkeypatch.context() as m:
+        m.setattr(st.compaction, "_clean", killed)
+        with pytest.raises(RuntimeError):
+            st.compact(spark, path, ["k"])
+    assert st.newest_version(spark, path).number == 3
+    assert rows(st.read_upserted(spark, path, ["k"])) == wanted
+    batch(2, ("c", 3))
+    st.compact(spark, path, ["k"])
+    assert rows(spark.read.parquet(st.current_base(spark, path)).select("k", "v")) == [*wanted, ("c", 3)]
+    left = sorted(p for p in os.listdir(f"{path}/_versions") if p.startswith("data-"))
+    assert [name.split("-")[1] for name in left] == ["3", "4"]
+    # The engine repeats a batch that was folded: it is not read twice, and an older one changes nothing.
+    batch(1, ("a", 2))
+    assert rows(st.read_upserted(spark, path, ["k"])) == [*wanted, ("c", 3)]
+
+
+def test_readers_that_began_before_a_switch_go_on(spark, tmp_path):
+    path = str(tmp_path / "table")
+    sink = st.append_sink(path)
+    for n in range(3):
+        sink(spark.range(2), n)
+    old = st.read_appended(spark, path)
+    st.compact(spark, path)
+    assert old.count() == 6 == st.read_appended(spark, path).count()
+    sink(spark.range(2), 3)
+    between = st.read_appended(spark, path)
+    st.compact(spark, path)
+    assert between.count() == 8 == st.read_appended(spark, path).count()
+
+
+def test_two_compactions_at_a_time(spark, tmp_path, monkeypatch):
+    """The second finds the mark taken and fails; the first one's base counts."""
+    path = str(tmp_path / "table")
+    st.append_sink(path)(spark.range(3), 0)
+
+    def late(spark, where, text):
+        with monkeypatch.context() as m:
+            m.setattr(st.compaction, "create_new", create_new)
+            st.compact(spark, path)
+        create_new(spark, where, text)
+
+    with monkeypatch.context() as m:
+        m.setattr(st.compaction, "create_new", late)
+        with pytest.raises(Exception, match="already exists"):
+            st.compact(spark, path)
+    assert st.read_appended(spark, path).count() == 3
+    assert spark.read.parquet(st.current_base(spark, path)).count() == 3

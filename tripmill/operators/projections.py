@@ -172,10 +172,20 @@ def unsendable(
     return df.filter(~sendable)
 
 
-def from_message(df: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
-    """Columns of ``schema`` from one JSON object per row; text or bytes."""
-    parsed = F.from_json(F.col(column).cast("string"), schema)
-    return df.select(parsed.alias("m")).select("m.*")
+def from_message(
+    df: DataFrame, schema: T.StructType, column: str = "value", corrupt: str | None = None
+) -> DataFrame:
+    """Columns of ``schema`` from one JSON object per row; text or bytes.
+
+    ``corrupt`` names one more column, with the text of a message that does not fit the schema, else NULL.
+    A message without any text, such as a tombstone, is NULL in all columns, the corrupt one too.
+    """
+    text = F.col(column).cast("string")
+    if corrupt is None:
+        return df.select(F.from_json(text, schema).alias("m")).select("m.*")
+    wider = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    return df.select(F.from_json(text, wider, options).alias("m")).select("m.*")
 
 
 def sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:

@@ -38,3 +38,29 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def rename(spark: SparkSession, old: str, new: str) -> bool:
     fs, target = _path(spark, old)
     return fs.rename(target, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new))
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that must not exist yet: of two writers, one fails."""
+    fs, target = _path(spark, path)
+    out = fs.create(target, False)
+    try:
+        out.writeBytes(text)
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file of ASCII text."""
+    fs, target = _path(spark, path)
+    source = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "US-ASCII")
+    finally:
+        source.close()
+
+
+def renames_atomically(spark: SparkSession, path: str) -> bool:
+    """Whether a folder's rename happens as a whole: on file systems, not on plain object stores."""
+    fs, _ = _path(spark, path)
+    return fs.getUri().getScheme() in ("file", "hdfs", "viewfs", "abfs", "abfss")

@@ -94,27 +94,55 @@ def sessions(
     return _batch_sessions(df, time, gap, keys, aggs)
 
 
+#: Cells of a span: what one task orders of a key is one span, or what spans leave over.
+SPAN_CELLS = 4096
+
+
+def _micros(time: Column) -> Column:
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), time.cast("timestamp_ntz"))
+
+
+def _numbered(rows: DataFrame, within: Sequence[str], first: str, last: str, wait: Column, name: str) -> DataFrame:
+    """Rows with the number of their session among those of ``within``, in order of ``first``."""
+    ordered = Window.partitionBy(*within).orderBy(first)
+    before = F.lag(last).over(ordered)
+    opens = F.when(before.isNull() | (F.col(first) > before + wait), 1).otherwise(0)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("_opens", opens).withColumn(name, F.sum("_opens").over(so_far)).drop("_opens")
+
+
 def _batch_sessions(
-    df: DataFrame, time: str, gap: str, keys: Sequence[str], aggs: Aggs
+    df: DataFrame, time: str, gap: str, keys: Sequence[str], aggs: Aggs, span_cells: int = SPAN_CELLS
 ) -> DataFrame:
-    """Sessions by way of cells, so that a hot key is never one task's raw rows.
+    """Sessions by way of cells and spans, so that a hot key is never one task's rows.
 
     Rows of one key in one cell of width ``gap`` are less than ``gap`` apart and so always share a
-    session. They are aggregated per cell in the scanning tasks; what a key keeps for the ordered step
-    is at most one small row per cell, a number bounded by the time span and not by the rows.
+    session; they are aggregated per cell in the scanning tasks. Cells are then strung to sessions in
+    spans of ``span_cells`` cells, each span by itself. Only the first and the last session of a span can
+    go on in another one: these alone are strung per key, at most two rows per span, while every other
+    session is final and stands alone.
     """
     wait = F.expr(f"INTERVAL {gap}")
     cells = df.groupBy(*keys, F.window(time, gap).alias("_cell")).agg(
         F.min(time).alias("_first"), F.max(time).alias("_last"), *_expressions(aggs)
     )
-    ordered = Window.partitionBy(*keys).orderBy("_first")
-    before = F.lag("_last").over(ordered)
-    opens = F.when(before.isNull() | (F.col("_first") > before + wait), 1).otherwise(0)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = cells.drop("_cell").withColumn("_opens", opens)
-    numbered = numbered.withColumn("_session", F.sum("_opens").over(so_far))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    width = _micros(epoch + wait) * span_cells
+    cells = cells.withColumn("_span", F.floor(_micros(F.col("_cell.start")) / width)).drop("_cell")
+    in_span = [*keys, "_span"]
+    strung = _numbered(cells, in_span, "_first", "_last", wait, "_session")
+    strung = strung.withColumn("_latest", F.max("_session").over(Window.partitionBy(*in_span)))
+    parts = strung.groupBy(*in_span, "_session").agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"),
+        (F.first("_session") == F.first("_latest")).alias("_ends"),
+        *[_MERGE[kind](name).alias(name) for name, (kind, _) in aggs.items()],
+    )
+    # What can go on elsewhere shares one group per key; the others have one each.
+    edge = (F.col("_session") == 1) | F.col("_ends")
+    parts = parts.withColumn("_alone", F.when(~edge, F.struct("_span", "_session")))
+    chained = _numbered(parts, [*keys, "_alone"], "_first", "_last", wait, "_chain")
     return (
-        numbered.groupBy(*keys, "_session")
+        chained.groupBy(*keys, "_alone", "_chain")
         .agg(
             F.min("_first").alias("session_start"),
             (F.max("_last") + wait).alias("session_end"),
