@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 # Spark type -> the names under which the SQL engine may give the same values.
 _SAME = {
     T.LongType: {"BIGINT"},
+    T.BooleanType: {"BOOLEAN"},
     T.IntegerType: {"INTEGER"},
     T.ShortType: {"SMALLINT"},
     T.DoubleType: {"DOUBLE"},

@@ -3,12 +3,15 @@ import gzip
 import os
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tripmill import functions as X
+from tripmill import operators as op
 from tripmill import sinks
 from tripmill.session import shared_dir
+from tripmill.sinks import journal
 
 
 @pytest.fixture
@@ -92,7 +95,7 @@ def test_time_interval_replaces_only_the_interval(spark, trips, tmp_path):
     for _ in range(2):  # a second run changes nothing
         sinks.materialize(new, path, "time_interval", "t", "2024-01-20", "2024-03-03")
         assert _table(spark, path) == [(0, 1.0), (1, 2.0), (2, 2.0), (3, 2.0), (4, 2.0), (5, 1.0)]
-    assert not glob.glob(f"{path}/_kept-*")
+    assert not glob.glob(f"{path}/_staged*") + glob.glob(f"{path}/_journal*")
 
 
 def test_time_interval_removes_a_month_left_empty(spark, trips, tmp_path):
@@ -229,3 +232,112 @@ def test_publish_appends_json_lines(spark, tmp_path):
     sinks.publish_json(messages, f"{tmp_path}/topic")
     sinks.publish_json(messages, f"{tmp_path}/topic")
     assert spark.read.json(f"{tmp_path}/topic").count() == 4
+
+
+# ---- journals ------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("step", ["create_new", "rename", "remove", "after"])
+def test_an_interval_killed_in_its_commit_is_finished_by_the_next_run(spark, trips, tmp_path, monkeypatch, step):
+    path = f"{tmp_path}/t"
+    sinks.materialize(trips, path, "replace", key="t")
+    before = _table(spark, path)
+    new = _from_to(trips.withColumn("v", F.lit(9.0)), "2024-01-20", "2024-03-03")
+    calls = []
+
+    def dies(real, at):
+        def call(*args):
+            calls.append(args)
+            if len(calls) == at:
+                raise OSError("killed")
+            return real(*args)
+
+        return call
+
+    with monkeypatch.context() as m:
+        if step == "after":
+            m.setattr(journal, "recover", dies(journal.recover, 1))
+        else:
+            m.setattr(journal, step, dies(getattr(journal, step), 1 if step == "create_new" else 2))
+        with pytest.raises(OSError):
+            sinks.materialize(new, path, "time_interval", "t", "2024-01-20", "2024-03-03")
+    if step == "create_new":  # nothing was decided
+        assert _table(spark, path) == before
+        assert not sinks.recover(spark, path)
+    else:
+        # The next run, of another interval, first finishes what was decided.
+        late = trips.filter("id < 0")
+        sinks.materialize(late, path, "time_interval", "t", "2030-01-01", "2030-01-31")
+        inside = {r.id for r in new.collect()}
+        assert _table(spark, path) == [(i, 9.0 if i in inside else v) for i, v in before]
+        assert not glob.glob(f"{path}/_journal*")
+    sinks.materialize(new, path, "time_interval", "t", "2024-01-20", "2024-03-03")
+    inside = {r.id for r in new.collect()}
+    assert _table(spark, path) == [(i, 9.0 if i in inside else v) for i, v in before]
+
+
+def test_a_journal_cut_off_decides_nothing(spark, trips, tmp_path):
+    path = f"{tmp_path}/t"
+    sinks.materialize(trips, path, "replace", key="t")
+    before = _table(spark, path)
+    with open(f"{path}/_journal.json", "w") as f:
+        f.write('{"staged": "_sta')
+    assert not sinks.recover(spark, path) and _table(spark, path) == before
+
+
+def test_checked_write(spark, trips, tmp_path):
+    path = f"{tmp_path}/t"
+    rules = [op.not_null("id"), op.accepted_values("v", [1.0, 2.0]), op.unique("id")]
+    good = trips.withColumn("v", F.lit(1.0))
+    report = sinks.write_checked(good, path, rules)
+    assert [(r.check, r.failing_rows, r.status) for r in report.collect()] == [
+        ("not_null", 0, "pass"), ("accepted_values", 0, "pass"), ("unique", 0, "pass")]
+    assert spark.read.parquet(path).count() == 6
+    files = sorted(os.listdir(path))
+    for bad in (good.withColumn("v", F.when(F.col("id") == 3, 7.0).otherwise(2.0)), good.union(good.limit(1))):
+        for mode in ("append", "replace"):
+            with pytest.raises(op.QualityError):
+                sinks.write_checked(bad, path, rules, mode)
+            assert sorted(os.listdir(path)) == files
+    sinks.write_checked(good.limit(2), path, rules[:2], "append")
+    assert spark.read.parquet(path).count() == 8
+    sinks.write_checked(good.limit(2), path, rules, "replace")
+    assert spark.read.parquet(path).count() == 2
+    sinks.write_checked(good.limit(0), path, [], "replace")
+    assert spark.read.parquet(path).count() == 0
+
+
+def test_a_checked_write_scans_its_source_once(spark, trips, tmp_path):
+    """The source counts its own rows: each was read once."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    source = spark.range(1000).mapInArrow(counted, "id long")
+    sinks.write_checked(source, f"{tmp_path}/t", [op.not_null("id"), op.positive("id")][:1])
+    assert reads.value == 1000
+
+
+def test_a_filter_on_the_sort_column_opens_one_file_of_several(spark, tmp_path):
+    path = f"{tmp_path}/layout"
+    rows = spark.range(0, 40_000, 1, 4).select(
+        (F.col("id") % 200).alias("vendor"), F.lit("2024-05-05").cast("timestamp_ntz").alias("t"), F.sha2(F.col("id").cast("string"), 256).alias("note"))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        sinks.write_layout(rows, path, "t", ["vendor", "t"])
+    finally:
+        spark.conf.set(coalesce, "true")
+    ranges = []
+    for file in glob.glob(f"{path}/year_month=202405/*.parquet"):
+        footer = pq.ParquetFile(file).metadata
+        groups = [footer.row_group(i).column(0).statistics for i in range(footer.num_row_groups)]
+        ranges.append((min(g.min for g in groups), max(g.max for g in groups)))
+    ranges.sort()
+    assert len(ranges) > 3
+    # Ranges meet at their ends at most, so a vendor lies in one file, or in two if it is at a bound.
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    assert sum(low <= 17 <= high for low, high in ranges) == 1

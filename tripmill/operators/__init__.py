@@ -24,6 +24,7 @@ from tripmill.operators.projections import (
     normalize_trips,
     preview,
     sample,
+    sample_by_key,
     stage,
     to_message,
     union_trips,
@@ -74,6 +75,7 @@ __all__ = [
     "positive",
     "preview",
     "sample",
+    "sample_by_key",
     "share_of_total",
     "sort_by",
     "stage",

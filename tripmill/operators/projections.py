@@ -193,6 +193,17 @@ def sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     return df.filter(F.rand(seed) < F.lit(fraction))
 
 
+def sample_by_key(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> DataFrame:
+    """The rows of about ``fraction`` of all keys, chosen by a digest of key and seed.
+
+    The choice depends on the values alone: another run, layout or number of tasks takes the same rows, all
+    rows of a key or none, and a larger fraction takes these and more. Keys are compared as text, NULL as an empty one.
+    """
+    text = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    place = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return df.filter(place < F.lit(float(fraction)) * 4294967296)
+
+
 def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
     """First ``n`` rows for display, in ``order`` if given."""
     return (df.orderBy(*order) if order else df).limit(n)

@@ -296,6 +296,14 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def payment_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the newest snapshot of raw text to days with moving averages."""
+    daily = taxi.payment_overview(_payments(spark, sf_dir)).daily.select(
+        "trip_date", "total_amt", "tip_amt", "trip_count", "revenue_ma7", "tips_ma7"
+    )
+    digits = {"total_amt": 2, "tip_amt": 2, "revenue_ma7": 4, "tips_ma7": 4}
+    return daily.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "payments")
     kind, value = F.col("event_type"), F.col("value").cast("string")
     raw = table(spark, sf_dir, "events").select(
@@ -306,12 +314,19 @@ def payment_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "click", value).otherwise("none").alias("tip_amt"),
     )
     sinks.write_snapshot(raw, root, "taxi_data", "taxi")
-    rows = taxi.load_payments(spark, root)
-    daily = taxi.payment_overview(rows).daily.select(
-        "trip_date", "total_amt", "tip_amt", "trip_count", "revenue_ma7", "tips_ma7"
-    )
-    digits = {"total_amt": 2, "tip_amt": 2, "revenue_ma7": 4, "tips_ma7": 4}
-    return daily.withColumns({c: F.round(c, n) for c, n in digits.items()})
+    return taxi.load_payments(spark, root)
+
+
+@query(
+    'SELECT count(*) AS "rows", min(ts) AS first_pickup, max(ts) AS last_pickup, '
+    "round(sum(value) FILTER (event_type = 'click'), 2) AS total_tips, "
+    "count(*) FILTER (event_type = 'click' AND value > 0) AS trips_with_tips "
+    "FROM events WHERE event_type NOT IN ('signup', 'error')"
+)
+def payment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals beside the days of ``payment_overview``."""
+    summary = taxi.payment_overview(_payments(spark, sf_dir)).summary
+    return summary.withColumn("total_tips", F.round("total_tips", 2))
 
 
 # ---- write strategies --------------------------------------------------------------------------

@@ -197,6 +197,22 @@ def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(tumbling_sql(_SECONDS))
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that is stopped and goes on from its checkpoint three times, into Spark's own sink."""
+    topic, out, checkpoint = (shared_dir(spark, n) for n in ("messages", "window-counts", "checkpoint"))
+    events = table(spark, sf_dir, "events").withColumn("part", F.expr(_PART))
+    parts = [_texted(events.filter(F.col("part") == n)) for n in range(_PARTS)]
+
+    def run_once(_: int) -> None:
+        timed = st.with_event_time(st.stream_trips(spark, _MESSAGE, path=topic), "ts")
+        st.run(st.tumbling(timed, "event_time", "5 minutes", ["event_type"]), out, checkpoint)
+
+    _runs(spark, topic, parts, run_once)
+    rows = spark.read.parquet(out).unionByName(st.held_windows(spark, checkpoint, ["event_type"]))
+    return _zone_free(rows, "window_start", "window_end")
+
+
 _LATE, _UNREADABLE = 7, 11
 _LATE_SQL = f"""
 WITH told AS (

@@ -123,6 +123,7 @@ VENDOR_CODES = (1, 2)
 RATE_CODES = (1, 2, 3, 4, 5, 6)
 PAYMENT_CODES = (1, 2, 3, 4, 5, 6)
 TRIP_TYPE_CODES = (1, 2)
+FLAG_CODES = ("Y", "N")
 PAYMENT_NAMES = {
     1: "Credit card",
     2: "Cash",

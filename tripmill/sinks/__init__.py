@@ -11,7 +11,14 @@ from tripmill.sinks.files import (
     write_n_files,
     write_snapshot,
 )
-from tripmill.sinks.materialize import materialize, read_months, replace_interval, replace_table
+from tripmill.sinks.journal import recover
+from tripmill.sinks.materialize import (
+    materialize,
+    read_months,
+    replace_interval,
+    replace_table,
+    write_checked,
+)
 
 __all__ = [
     "convert_months",
@@ -19,8 +26,10 @@ __all__ = [
     "materialize",
     "publish_json",
     "read_months",
+    "recover",
     "replace_interval",
     "replace_table",
+    "write_checked",
     "write_chunks",
     "write_day",
     "write_jdbc",

@@ -57,18 +57,17 @@ def by_month(df: DataFrame) -> DataFrame:
 def write_layout(
     df: DataFrame, path: str, month_of: str, sort_by: Sequence[str], mode: str = "overwrite"
 ) -> None:
-    """Parquet in one folder per month of ``month_of``, each file sorted by ``sort_by``.
+    """Parquet in one folder per month of ``month_of``, clustered by ``sort_by``.
 
-    A filter on the month opens few folders; inside a file, statistics of row groups and pages skip
-    what a filter on the sort columns excludes.
+    Rows are dealt to tasks by ranges of month and sort columns, from bounds that Spark samples, and sorted inside.
+    Files of one month therefore hold ranges that meet at their ends at most: a filter on the month
+    opens few folders, one on the first sort columns few files of these, and statistics of row groups and
+    pages skip the rest. Rows of one sort key are parted too if they are too many, by a hash of the row. The number of
+    ranges is the session's number of shuffle partitions; adaptive execution joins small ones.
     """
-    (
-        by_month(with_month(df, month_of))
-        .sortWithinPartitions(MONTH, *sort_by)
-        .write.mode(mode)
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
+    rows = with_month(df, month_of)
+    parted = rows.repartitionByRange(MONTH, *sort_by, F.xxhash64(*df.columns))
+    parted.sortWithinPartitions(MONTH, *sort_by).write.mode(mode).partitionBy(MONTH).parquet(path)
 
 
 def write_day(df: DataFrame, root: str, day: date | str | int) -> str:

@@ -1,15 +1,17 @@
-"""Write strategies of a table: append, replace, view, and re-runnable time interval."""
+"""Write strategies of a table: append, replace, view, re-runnable time interval, and writes behind checks."""
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.functions.predicates import as_date, month_number
+from tripmill.operators.quality import REPORT, QualityError, Rule, check
 from tripmill.sinks.files import MONTH, by_month, with_month
+from tripmill.sinks.journal import commit, files_below, recover, staging
 from tripmill.sources.months import months_between
 from tripmill.storage import child_names, remove
 
@@ -70,43 +72,59 @@ def replace_interval(
     Rows of ``df`` outside the interval, or without a key, are refused before anything is written.
 
     Running it twice leaves the same table. Only the months of the interval are written. Of those
-    only the first and the last can hold rows outside it; these rows are set aside beside the
-    table first, so the write never reads what it overwrites. A month that is left without rows
-    is removed, which an overwrite of partitions alone would not do.
+    only the first and the last can hold rows outside it, which are written anew with the others. A month
+    that is left without rows is removed.
+
+    New months are written whole beside the table, then a journal decides the change (see ``journal``): a run
+    that dies before leaves the table as it was; of one that dies after, the next run finishes
+    the change first. No row outside the interval is ever in one place only.
     """
     spark = df.sparkSession
+    recover(spark, path)
     inside = _inside(key, start, end)
     astray = df.filter(~F.coalesce(inside, F.lit(False))).count()
     if astray:
         raise ValueError(f"{astray} rows have no {key} from {start} to {end}; nothing was written")
     out = with_month(df, key)
-    months = months_between(as_date(start), as_date(end))
-    kept = None
     if child_names(spark, path):
-        old = spark.read.parquet(path)
         edges = F.col(MONTH).isin(month_number(start), month_number(end))
-        kept = f"{path.rstrip('/')}/_kept-{uuid.uuid4().hex[:12]}"
-        old.filter(edges & ~inside).write.parquet(kept)
-        out = out.unionByName(spark.read.schema(old.schema).parquet(kept))
-    folders = [f"{path.rstrip('/')}/{MONTH}={year * 100 + month}" for year, month in months]
-    before = {folder: child_names(spark, folder) for folder in folders}
-    try:
-        (
-            by_month(out)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH)
-            .parquet(path)
-        )
-    except Exception as error:
-        error.add_note(f"rows of {path} outside the interval are kept in {kept}")
-        raise
-    # File names are new in every write, so a folder that still has its old ones received no rows.
-    for folder, names in before.items():
-        if names and child_names(spark, folder) == names:
-            remove(spark, folder)
-    if kept:
-        remove(spark, kept)
+        out = out.unionByName(spark.read.parquet(path).filter(edges & ~inside))
+    staged = staging(path)
+    by_month(out).write.partitionBy(MONTH).parquet(staged)
+    months = [f"{MONTH}={y * 100 + m}" for y, m in months_between(as_date(start), as_date(end))]
+    filled = [name for name in child_names(spark, staged) if name.startswith(f"{MONTH}=")]
+    commit(spark, path, staged, files_below(spark, staged, filled), files_below(spark, path, months))
+
+
+def write_checked(df: DataFrame, path: str, rules: Sequence[Rule], mode: str = "append") -> DataFrame:
+    """Write ``df`` if it passes ``rules``; returns the report. ``mode`` is ``append`` or ``replace``.
+
+    Row rules are counted by the write itself (an observation of its tasks' rows), so the source is
+    scanned once; a unique rule groups the rows just written. If a rule fails, QualityError is raised and
+    the table is as it was: rows are written beside it first, and a journal moves them in.
+    """
+    if mode not in ("append", "replace"):
+        raise ValueError(f"mode {mode!r} is neither append nor replace")
+    spark = df.sparkSession
+    recover(spark, path)
+    rowwise = [r for r in rules if r.fails]
+    seen = Observation()
+    counted = [F.count_if(r.fails(F.col(r.column))).alias(f"_{i}") for i, r in enumerate(rowwise)]
+    staged = staging(path)
+    # An empty list of rules observes the number of rows.
+    df.observe(seen, *(counted or [F.count(F.lit(1)).alias("_rows")])).write.parquet(staged)
+    found = seen.get
+    report = [(r.check, r.column, int(found[f"_{i}"])) for i, r in enumerate(rowwise)]
+    grouped = [r for r in rules if r.keys]
+    if grouped:
+        report += [(r.check, r.column, r.failing_rows) for r in check(spark.read.parquet(staged), grouped).collect()]
+    failed = [f"{rule}({column}): {n}" for rule, column, n in report if n]
+    if failed:
+        remove(spark, staged)
+        raise QualityError(", ".join(failed))
+    commit(spark, path, staged, files_below(spark, staged), files_below(spark, path) if mode == "replace" else [])
+    rows = [(rule, column, n, "pass") for rule, column, n in report]
+    return spark.createDataFrame(rows, REPORT)
 
 
 def replace_table(df: DataFrame, name: str, location: str | None = None) -> DataFrame:

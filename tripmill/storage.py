@@ -60,7 +60,6 @@ def read_text(spark: SparkSession, path: str) -> str:
         source.close()
 
 
-def renames_atomically(spark: SparkSession, path: str) -> bool:
-    """Whether a folder's rename happens as a whole: on file systems, not on plain object stores."""
-    fs, _ = _path(spark, path)
-    return fs.getUri().getScheme() in ("file", "hdfs", "viewfs", "abfs", "abfss")
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _path(spark, path)
+    fs.mkdirs(target)
