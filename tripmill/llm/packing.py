@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -153,10 +154,21 @@ def slots(plan: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
 
 # ---- tokens ----------------------------------------------------------------------------------
 
+# Bytes as the characters that a byte-level vocabulary writes for them: printable Latin ones are themselves, the others
+# follow in order from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {}
+for _b in range(256):
+    _BYTE_CHARS[_b] = chr(_b) if _b in _PRINTED else chr(256 + _b - sum(x < _b for x in _PRINTED))
+#: Words of letters alone that the model must give the ids of the whole tokenizer for, else it is not asked.
+_PROBES = ("a", "word", "größe", "çedilla", "straße", "ñandú", "слово", "naïvetés", "zzzzzz")
+
+
 class WordIds(dict):
-    """Ids of a word (A-Z in lower case) as little-endian 32-bit bytes. No token of this vocabulary spans white space.
+    """Ids of a word as little-endian 32-bit bytes. No token of this vocabulary spans white space.
 
-    Holds the words of the latest texts; those not met again for long are forgotten.
+    Words are looked up with A-Z in lower case, which the tokenizer makes of them anyway; a word that
+    holds one of the vocabulary's special marks is looked up as it is written, as these are found before letters are folded. Holds the words of the latest texts; those not met again for long are forgotten.
     """
 
     def __init__(self, path: str):
@@ -164,7 +176,24 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.older: dict[bytes, bytes] = {}
+        self.marks = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain = all(self._letters(w.encode()) == self._encode(w) for w in _PROBES)
+
+    def _encode(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _letters(self, word: bytes) -> bytes:
+        """Of a folded, composed word of letters alone, which is one piece for the model."""
+        text = word.decode("ascii") if word.isascii() else "".join(map(_BYTE_CHARS.__getitem__, word))
+        return np.asarray([t.id for t in self.model.tokenize(text)], dtype="<u4").tobytes()
+
+    def _one_piece(self, word: bytes) -> bool:
+        if word.isascii():
+            return word.isalpha()
+        text = word.decode("utf-8")
+        return text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)
 
     def __missing__(self, word: bytes) -> bytes:
         out = self.older.get(word)
@@ -172,15 +201,29 @@ class WordIds(dict):
             # A mark after a letter is a token run of its own, so the word is looked up without it.
             if len(word) > 1 and word[-1] in b".,;:!?" and 97 <= word[-2] <= 122:
                 out = self[word[:-1]] + self[word[-1:]]
+            elif self.plain and self._one_piece(word):
+                out = self._letters(word)
             else:
-                ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-                out = np.asarray(ids, dtype="<u4").tobytes()
+                out = self._encode(word.decode("utf-8"))
         if len(self) >= REMEMBERED // 2:
             self.older = dict(self)
             self.clear()
         self[word] = out
         return out
 
+    def ids(self, text: bytes) -> bytes:
+        """Ids of a whole text."""
+        if not any(mark in text for mark in self.marks):
+            # Folding letters could make a special mark of what is none.
+            folded = text.lower()
+            if not any(mark in folded for mark in self.marks):
+                return b"".join([self[w] for w in folded.split()])
+        return b"".join([self._as_written(w) for w in text.split()])
+
+    def _as_written(self, word: bytes) -> bytes:
+        folded = word.lower()
+        return self._encode(word.decode("utf-8")) if any(mark in folded for mark in self.marks) else self[folded]
+
 
 #: One memory per vocabulary and worker, kept from task to task.
 _WORDS: dict[str, WordIds] = {}
@@ -197,7 +240,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(batch.column("text").cast(pa.binary())):
-                raw = b"".join([words[w] for w in (text.as_py() or b"").lower().split()]) + end
+                raw = words.ids(text.as_py() or b"") + end
                 for k, at in enumerate(range(0, len(raw), step)):
                     own = raw[at:at + step]
                     row.append(i)
