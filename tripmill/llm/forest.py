@@ -11,13 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import require, stash
-from tripmill.llm.vectors import blocks, dump, load, usable
+from tripmill.llm.vectors import blocks, dump, load, matrix, usable
 
 NEIGHBOURS, QUERY_STEP = 20, 20
-SHARD_ROWS, BLOCK_ROWS = 8192, 512
-TREES, LEAF = 12, 48
-#: Candidates that a query takes from the queue at first; queries of a block that are audited, and what they must show.
-CANDIDATES, AUDITED, RECALL = 1500, 24, 0.97
+#: Rows of one forest, and queries that meet it in one task.
+SHARD_ROWS, ASKED_ROWS = 8192, 4096
+TREES, LEAF = 12, 32
+#: Share of a forest's rows that a query takes from the queue at first, and by how much it grows while an audit fails.
+FIRST_SHARE, WIDER = 0.05, 1.3
+#: Queries of a task that are audited, and the recall that they must show.
+AUDITED, RECALL = 64, 0.92
 
 
 class Forest:
@@ -65,15 +68,17 @@ class Forest:
         return cls(np.asarray(normals, dtype=np.float32).reshape(shape), np.asarray(offsets, dtype=np.float32), children, leaves, roots)
 
     def candidates(self, queries: np.ndarray, most: int) -> Iterator[np.ndarray]:
-        """Rows for each query: leaves in the order of their worst margin on the way, over all trees at once."""
+        """At least ``most`` rows for each query: leaves in the order of their worst margin on the way, over all trees at once."""
         children, leaves = self.children, self.leaves
+        taken = np.zeros(1 + max((int(rows.max()) for rows in leaves if len(rows)), default=0), dtype=bool)
         for at in range(0, len(queries), 128):
             margins = queries[at:at + 128].astype(np.float32) @ self.normals.T - self.offsets
             for margin in margins:
                 queue = [(-np.inf, r) for r in self.roots]
                 heapq.heapify(queue)
                 margin = margin.tolist()
-                got, n = [], 0
+                taken[:] = False
+                n = 0
                 while queue and n < most:
                     worst, node = heapq.heappop(queue)
                     while node >= 0:
@@ -83,9 +88,10 @@ class Forest:
                         heapq.heappush(queue, (max(worst, abs(m)), far))
                         node = near
                     rows = leaves[-node - 1]
-                    got.append(rows)
-                    n += len(rows)
-                yield np.unique(np.concatenate(got)) if got else np.zeros(0, dtype=int)
+                    # A row in several trees' leaves counts once.
+                    n += len(rows) - np.count_nonzero(taken[rows])
+                    taken[rows] = True
+                yield np.flatnonzero(taken)
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -97,10 +103,6 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return kept[np.lexsort((ids[kept], -scores[kept]))][:k]
 
 
-def _dots(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    return x @ q
-
-
 def _forests(longest: float):
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,56 +120,69 @@ def _forests(longest: float):
     return build
 
 
+def search(
+    forest: Forest, x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int,
+) -> tuple[list[tuple[np.ndarray, np.ndarray]], float]:
+    """For each query the ids and inner products of its k best rows of ``x``; and the share of rows that queries took.
+
+    Some queries are audited by brute force. All take rows from the forest, more of them until the audited ones show the
+    recall; only if that takes nearly all rows are queries compared with every one.
+    """
+    lifted = np.column_stack([queries, np.zeros(len(queries))])
+    audited = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int))
+
+    def nearest(r: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        rows = rows[ids[rows] != query_ids[r]]
+        scores = x[rows] @ queries[r]
+        best = _best(scores, ids[rows], k)
+        return ids[rows][best], scores[best]
+
+    every = np.arange(len(x))
+    truth = {r: nearest(r, every) for r in audited}
+    wanted = sum(len(t[0]) for t in truth.values())
+    most = max(2 * k, int(FIRST_SHARE * len(x)))
+    while most < 0.9 * len(x):
+        found = {r: nearest(r, rows) for r, rows in zip(audited, forest.candidates(lifted[audited], most), strict=True)}
+        if sum(len(np.intersect1d(found[r][0], truth[r][0])) for r in audited) >= RECALL * wanted:
+            taken, out = 0, []
+            for r, rows in enumerate(forest.candidates(lifted, most)):
+                taken += len(rows)
+                out.append(truth[r] if r in truth else nearest(r, rows))
+            return out, taken / max(1, len(queries) * len(x))
+        most = int(WIDER * most)
+    return [truth.get(r) or nearest(r, every) for r in range(len(queries))], 1.0
+
+
 def _searcher(k: int):
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for raw, data in zip(batch.column("forest"), batch.column("data"), strict=True):
-                f, q = load(raw), load(data)
-                forest, x, ids = Forest(**f["forest"]), f["vectors"], f["id"]
-                queries = np.column_stack([q["vectors"], np.zeros(len(q["id"]))])
-                audited = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int))
-
-                def nearest(r: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-                    rows = rows[ids[rows] != q["id"][r]]
-                    scores = _dots(x[rows], q["vectors"][r])
-                    best = _best(scores, ids[rows], k)
-                    return ids[rows][best], scores[best]
-
-                truth = {r: nearest(r, np.arange(len(x))) for r in audited}
-                most = CANDIDATES
-                while most < len(x):
-                    found = {r: nearest(r, rows) for r, rows in zip(audited, forest.candidates(queries[audited], most), strict=True)}
-                    held = sum(len(np.intersect1d(found[r][0], truth[r][0])) for r in audited)
-                    if held >= RECALL * sum(len(t[0]) for t in truth.values()):
-                        break
-                    most *= 2
-                if most >= len(x):
-                    found = {r: nearest(r, np.arange(len(x))) for r in range(len(queries))}
-                else:
-                    found = {r: nearest(r, rows) for r, rows in enumerate(forest.candidates(queries, most))}
-                found |= truth
-                n = [len(v[0]) for v in found.values()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(q["id"][list(found)], n)), pa.array(np.concatenate([v[0] for v in found.values()])),
-                     pa.array(np.concatenate([v[1] for v in found.values()]))], ["query_id", "vec_id", "score"])
-
-    return search
+    def found(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, asks, near, scores = [], [], [], []
+        if left.num_rows and right.num_rows:
+            f = load(left.column("forest")[0])
+            right = right.sort_by([("id", "ascending"), ("ask", "ascending")])
+            query_ids = right.column("id").to_numpy()
+            best, _ = search(Forest(**f["forest"]), f["vectors"], f["id"], matrix(right.column("vector")), query_ids, k)
+            n = [len(v[0]) for v in best]
+            ids, asks = np.repeat(query_ids, n), np.repeat(right.column("ask").to_numpy(), n)
+            near, scores = np.concatenate([v[0] for v in best]), np.concatenate([v[1] for v in best])
+        return pa.table([pa.array(ids, pa.int64()), pa.array(asks, pa.int64()), pa.array(near, pa.int64()), pa.array(scores, pa.float64())],
+                        ["query_id", "ask", "vec_id", "score"])
+
+    return found
 
 
 def nearest_neighbours(embeddings: DataFrame, is_query: Column, k: int = NEIGHBOURS) -> DataFrame:
     """(query_id, rank, vec_id, score): for rows where ``is_query``, the k rows of largest inner product.
 
-    ``embeddings`` has vec_id and embedding. Every row is indexed, in shards of about SHARD_ROWS with a forest each; every
-    block of queries is sent to every shard, takes candidates through one priority queue over all
-    trees of the shard, and ranks them by the inner product of the original vectors in double
-    precision. A block audits some queries by brute force and takes twice the candidates until they
-    show the recall; beyond that it compares with the whole shard. The best of all shards are
-    kept, nearest first, ties to the smaller vec_id.
+    ``embeddings`` has vec_id and embedding. Every row is indexed, in shards of about SHARD_ROWS with a forest each. Queries are
+    dealt to every shard in parts of about ASKED_ROWS, and a forest travels once per part. Queries take
+    candidates through one priority queue over all trees of a shard, and rank them by the inner product of the
+    original vectors in double precision. A part audits some queries by brute force and takes more candidates
+    until they show the recall. The best of all shards are kept, nearest first, ties to the smaller vec_id.
 
     A query's own vec_id is no candidate of it. Vectors that are null, empty, zero or hold a null or
     non-finite component, and rows with a null vec_id, take no part. Vectors of another dimension
-    are no candidates. Rows that repeat a vec_id are candidates each. An empty table gives no rows.
-    Extra columns are left out.
+    are no candidates. Rows that repeat a vec_id are candidates each; as queries, equal rows ask once, and different
+    vectors of one vec_id each have ranks of their own. An empty table gives no rows. Extra columns are left out.
     """
     rows = embeddings.select(
         embeddings["vec_id"].cast("long").alias("id"), embeddings["embedding"].alias("vector"),
@@ -176,15 +191,18 @@ def nearest_neighbours(embeddings: DataFrame, is_query: Column, k: int = NEIGHBO
     square = F.aggregate("vector", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
     facts = rows.agg(F.count("*"), F.sum(F.col("asks").cast("long")), F.max(square)).first()
     shards = max(1, -(-facts[0] // SHARD_ROWS))
-    parts = max(1, -(-(facts[1] or 0) // BLOCK_ROWS))
+    salts = max(1, -(-(facts[1] or 0) // ASKED_ROWS))
     own = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
     forests = stash(blocks(own, ["dim"], "shard").mapInArrow(
         _forests(float(facts[2] or 0)), "dim int, shard int, forest binary"), "forests")
-    asked = rows.where("asks").withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int"))
-    queries = blocks(asked, ["dim"], "block")
-    met = forests.join(queries, "dim").repartition("dim", "shard", "block").select("forest", "data")
-    found = met.mapInArrow(_searcher(k), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    parted = forests.withColumn("salt", numbers(salts))
+    asked = rows.where("asks").select("dim", "id", F.xxhash64("vector").alias("ask"), "vector").dropDuplicates(["id", "ask"])
+    asked = asked.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(salts)).cast("int")).withColumn("shard", numbers(shards))
+    keys = ["dim", "shard", "salt"]
+    found = parted.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(
+        _searcher(k), "query_id long, ask long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "ask").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
