@@ -1,0 +1,278 @@
+"""Spelling variants, importance resampling and toxicity against SQL, brute force and held-out labels; and their odd rows."""
+
+import itertools
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.compare import connect, differences
+from tripmill.llm import registry, resampling, spelling, toxicity
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", ["op11_spelling_variants", "op12_bitslice_resample"])
+def test_equals_sql(spark, name):
+    assert differences(registry.QUERIES[name](spark, SF), connect(SF), registry.ORACLES[name]) is None
+
+
+# ---- spelling variants -----------------------------------------------------------------------
+
+def _near(a, b):
+    """Whether two words differ by exactly one inserted, deleted or replaced code point."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def _words(n, letters, low, high, seed):
+    rng = random.Random(seed)
+    made = set()
+    while len(made) < n:
+        word = "".join(rng.choice(letters) for _ in range(rng.randint(low, high)))
+        made.add(word)
+        i = rng.randrange(len(word))
+        made.add(rng.choice([word[:i] + word[i + 1:], word[:i] + rng.choice(letters) + word[i:], word[:i] + rng.choice(letters) + word[i + 1:]]))
+    return sorted(w for w in made if len(w) >= 4)
+
+
+@pytest.mark.parametrize("letters, low, high", [("ab", 4, 9), ("abc", 5, 7), ("aßé", 4, 12), ("abcdefgh", 5, 8)])
+def test_near_words_equal_brute_force(spark, letters, low, high):
+    # Few letters give many repeated and tied bigrams.
+    words = _words(240, letters, low, high, 3)
+    frame = spark.createDataFrame([(w, i % 7 + 1) for i, w in enumerate(words)], "word string, n long")
+    found = [(r.a, r.b) for r in spelling.near_words(frame).collect()]
+    assert sorted(found) == sorted((a, b) for a, b in itertools.combinations(words, 2) if _near(a, b))
+    assert len(set(found)) == len(found) > 50
+
+
+def test_pivots_are_disjoint_and_lightest():
+    rng = random.Random(4)
+    for _ in range(400):
+        word = "".join(rng.choice("abcd") for _ in range(rng.randint(4, 10)))
+        grams = sorted({word[i:i + 2] for i in range(len(word) - 1)})
+        rng.shuffle(grams)
+        weight = {g: i for i, g in enumerate(grams)}
+        held = spelling.prefix(word, weight)
+        a, b = spelling.pivots(held)
+        pairs = [(x[0] + y[0], x[1], y[1]) for x in held for y in held if y[1] >= x[1] + 2]
+        assert b >= a + 2 and weight[word[a:a + 2]] + weight[word[b:b + 2]] == min(pairs)[0]
+
+
+def test_keys_meet_wherever_one_edit_lies():
+    """A pivot that an edit leaves alone gives the word and its variant a key in common."""
+    rng = random.Random(5)
+    for _ in range(3000):
+        word = "".join(rng.choice("abcde") for _ in range(rng.randint(4, 9)))
+        at = rng.randrange(len(word) - 1)
+        i = rng.randrange(len(word) + 1)
+        kind = rng.choice("rid")
+        if kind == "i":
+            other, moved = word[:i] + "z" + word[i:], i <= at
+            spared = i <= at or i >= at + 2
+        elif i == len(word):
+            continue
+        else:
+            other = word[:i] + ("z" if kind == "r" else "") + word[i + 1:]
+            moved, spared = i < at, i < at or i >= at + 2
+        if not spared:
+            continue
+        there = at + (len(other) - len(word) if moved else 0)
+        assert set(spelling.pivot_keys(word, at)) & set(spelling.prefix_keys(other, there)), (word, other, at)
+
+
+def test_roots_of_a_long_chain(spark):
+    n = 37
+    forms = spark.createDataFrame([(f"w{i}", f"w{i + 1}") for i in range(n)] + [("x", "y")], "word string, form string")
+    got = {r.word: r.root for r in spelling.roots(forms).collect()}
+    assert got == {**{f"w{i}": f"w{n}" for i in range(n)}, "x": "y"}
+    assert spelling.roots(forms.limit(0)).count() == 0
+
+
+def test_variants_of_odd_rows(spark):
+    rows = [(1, "castle " * 9 + "castel castel castel Castle!", 0), (2, "castlee castlee castlee" + " ab" * 50_000, 0), (3, None, 0), (None, "", 0),
+            (4, "castles castles castles castles", 0), (4, "castles", 0), (None, "Ärger Ärger Ärger ärger ärger ärger ÄRGER", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, word int")
+    got = {r.word: r for r in spelling.variants(docs).collect()}
+    # None of these runs slips (97 divides none of their hashes), so counts are plain.
+    slips = [zlib.crc32(f"{'' if i is None else i}:{w}".encode()) % 97 == 0
+             for i, t, _ in rows for w in spelling_runs(t or "") if len(w) >= 5]
+    assert not any(slips)
+    assert (got["castle"].n, got["castle"].form, got["castle"].root) == (10, None, "castle")
+    assert [(got[w].form, got[w].root, got[w].form_n) for w in ("castlee", "castles")] == [("castle", "castle", 10)] * 2
+    # Only A-Z is folded, so two spellings of the same word are near; a tie in numbers makes neither a form.
+    assert got["Ärger"].n_near == 1 and got["Ärger"].form is None and got["castel"].n_near == 0
+    assert spelling.variants(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        spelling.variants(docs, min_length=3)
+
+
+def spelling_runs(text):
+    import re
+
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return re.findall(spelling.RUNS, text.translate(lower))
+
+
+def test_a_run_that_slips_loses_the_named_code_point(spark):
+    runs = [(i, w) for i in range(400) for w in ("größer", "castle")]
+    docs = spark.createDataFrame(runs, "doc_id long, run string")
+    got = {(r.doc_id, r.run): r.w for r in docs.select("*", spelling.slipped(F.col("doc_id"), F.col("run")).alias("w")).collect()}
+    n = 0
+    for (i, w), out in got.items():
+        h = zlib.crc32(f"{i}:{w}".encode())
+        at = h % len(w)
+        assert out == (w[:at] + w[at + 1:] if h % 97 == 0 else w)
+        n += h % 97 == 0
+    assert n > 0
+
+
+# ---- importance resampling -------------------------------------------------------------------
+
+def test_bit_sliced_sums_are_exact():
+    rng = np.random.default_rng(6)
+    for buckets in (1, 63, 64, 1000):
+        gains = rng.integers(-90_000, 90_000, buckets)
+        counts = np.where(rng.random(buckets) < 0.2, rng.integers(0, 100_000, buckets), 0)
+        planes = resampling.bit_planes(counts)
+        sums = resampling.GainPlanes(gains).sums(planes)
+        assert sum(int(s) << j for j, s in enumerate(sums)) == int(counts @ gains)
+
+
+def _brute(docs, target, min_words, percent, buckets, run):
+    """(doc_id, n_features, weight, score, rank) with plain counters and no planes."""
+    import re
+
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def features(text):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(lower))
+        made = [" ".join(words[i:i + k]) for k in range(1, run + 1) for i in range(len(words) - k + 1)]
+        return len(words), [zlib.crc32(f.encode()) % buckets for f in made]
+
+    import hashlib
+
+    read = [(i, *features(t)) for i, t in docs]
+    s, t = Counter(), Counter()
+    for _, _, f in read:
+        s.update(f)
+    for text in target:
+        t.update(features(text)[1])
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (sum(t.values()) + buckets) / ((s[b] + 1) * (sum(s.values()) + buckets)))) for b in range(buckets)]
+    out = []
+    for i, n_words, f in read:
+        weight = sum(gain[b] for b in f) // len(f) if f else 0
+        h = int(hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append([i, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, n_words])
+    able = sorted((r for r in out if r[5] >= min_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for rank, r in enumerate(able[:percent * len(able) // 100], 1):
+        r[4] = rank
+    return sorted([tuple(r[:5]) for r in out], key=str)
+
+
+@pytest.mark.parametrize("run, percent", [(1, 10), (2, 50), (1, 100), (1, 0)])
+def test_resample_equals_brute_force(spark, run, percent):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    docs += [(-1, None), (-2, ""), (-3, "one two"), (None, "word " * 30), (7, "twice " * 40), (-4, "long words " * 60_000)]
+    target = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").limit(8).collect()] + [None, ""]
+    frame = spark.createDataFrame([(i, t, 5) for i, t in docs], "doc_id long, text string, weight int")
+    wanted = spark.createDataFrame([(t,) for t in target], "text string")
+    got = resampling.resample(frame, wanted, 20, percent, 500, run).select("doc_id", "n_features", "weight", "score", "rank")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == _brute(docs, target, 20, percent, 500, run)
+
+
+def test_resample_of_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "word " * 30)], "doc_id long, text string")
+    none = docs.limit(0)
+    assert resampling.resample(none, docs).count() == 0
+    assert resampling.resample(docs, none).first().n_features == 30
+    # Equal rows tie in score and doc_id, and each has a rank of its own.
+    many = spark.createDataFrame([(i // 3, "word " * 30) for i in range(30)], "doc_id long, text string")
+    ranks = [r["rank"] for r in resampling.resample(many, docs, percent=50).collect()]
+    assert sorted(r for r in ranks if r) == list(range(1, 16)) and ranks.count(None) == 15
+
+
+# ---- toxicity --------------------------------------------------------------------------------
+
+def test_block_max_search_equals_brute_force():
+    rng = np.random.default_rng(7)
+    for n, n_terms, k in ((5, 3, 9), (700, 40, 7), (1500, 12, 31)):
+        vectors = []
+        for _ in range(n):
+            terms = rng.choice(n_terms, rng.integers(1, min(6, n_terms)), replace=False)
+            # Few distinct weights, so that cosines tie.
+            raw = rng.integers(1, 4, len(terms)).astype(float)
+            vectors.append(dict(zip(terms.tolist(), (raw / np.linalg.norm(raw)).tolist())))
+        index = toxicity.BlockMax(vectors, n_terms)
+        dense = np.zeros((n, n_terms))
+        for i, v in enumerate(vectors):
+            dense[i, list(v)] = list(v.values())
+        read = []
+        for i in range(0, n, 7):
+            for without in (-1, i):
+                ids, cosines, blocks = index.nearest(vectors[i], k, without)
+                scores = dense @ dense[i]
+                there = [j for j in np.lexsort((np.arange(n), -scores.round(12))) if scores[j] > 0 and j != without][:k]
+                assert np.allclose(cosines, scores[there]) and len(ids) == len(there)
+                # Sums of the same numbers in another order may part ties by their last bit.
+                assert np.allclose(scores[ids], scores[there])
+                read.append(blocks)
+        if n > 1000:
+            assert np.mean(read) < 0.8 * index.blocks
+    assert toxicity.BlockMax([], 0).nearest({}, 3)[2] == 0
+
+
+def test_calibration_is_monotone_and_pools():
+    votes, toxic = np.array([0.1, 0.2, 0.2, 0.5, 0.6, 0.9]), np.array([0, 0, 1, 0, 1, 1.0])
+    knots, chances = toxicity.calibrate(votes, toxic, np.ones(6))
+    assert (np.diff(knots) >= 0).all() and (np.diff(chances) >= 0).all() and 0 < chances[0] < chances[-1] < 1
+    # Equal votes are one pool whatever their labels.
+    at = np.interp([0.2, 0.2], knots, chances)
+    assert at[0] == at[1]
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.1"
+    scored = toxicity.op13_toxicity_neighbours(spark, sf)
+    told = scored.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").select("toxic", "predicted", "score").collect()
+    toxic = [r for r in told if r.toxic]
+    clean = [r for r in told if not r.toxic]
+    # The labels themselves have errors, and rare words of three languages occur in few of these training texts.
+    assert np.mean([r.predicted for r in toxic]) > 0.8 and np.mean([r.predicted for r in clean]) < 0.02
+    # Scores are chances: their mean is near the share.
+    assert abs(np.mean([r.score for r in told]) - len(toxic) / len(told)) < 0.02
+    assert all(r.predicted == (r.score >= 0.7) for r in told)
+
+
+def test_labels_of_the_held_out_fold_are_not_read(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    turned = labels.withColumn("toxic", F.when(toxicity.is_held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    scores = [sorted((r.doc_id, r.score) for r in toxicity.toxicity(docs, x).collect()) for x in (labels, turned)]
+    assert scores[0] == scores[1]
+    held = {r.doc_id for r in docs.where(toxicity.is_held_out(F.col("doc_id"))).collect()}
+    assert held == {r.doc_id for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1}
+
+
+def test_toxicity_of_odd_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", F.lit(1).alias("toxic"), F.lit(2).alias("digest"))
+    odd = [(None, None), (-1, ""), (-2, "..."), (-3, "idiot " * 200_000), (-3, "idiot " * 200_000), (-4, "unheardofword")]
+    rows = spark.createDataFrame([(i, t, 0, 0) for i, t in odd], docs.schema)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    more = labels.select("doc_id", "toxic").unionByName(spark.createDataFrame([(None, 1), (-1, 5), (-2, None), (10**9, 1)], "doc_id long, toxic int"))
+    out = toxicity.toxicity(docs.unionByName(rows), more).collect()
+    assert len(out) == docs.count() + len(odd) and all(0 <= r.score <= 1 for r in out)
+    bare = {r.score for r in out if r.doc_id in (None, -1, -2, -4)}
+    assert len(bare) == 1 and len({r.score for r in out if r.doc_id == -3}) == 1
+    assert all(r.evidence == [] for r in out if r.doc_id in (None, -1, -2, -4)) and out[0].digest == 2
+    assert toxicity.toxicity(docs.limit(0), labels).count() == 0
+    none = toxicity.toxicity(docs, labels.limit(0)).collect()
+    assert {(r.score, r.predicted) for r in none} == {(0.0, 0)}
+    with pytest.raises(ValueError):
+        toxicity.toxicity(docs.withColumn("score", F.lit(1)), labels)
