@@ -17,6 +17,8 @@ RULES = (
 RULE_SCHEMA = "verdict string, host string, path string"
 #: Hex digits of a digest that the join compares; the full digest is compared after it.
 PREFIX_DIGITS = 8
+#: Rules up to this number go to every task; more are joined by a shuffle.
+FEW_RULES = 100_000
 DEFAULT_VERDICT = "allow"
 
 
@@ -45,8 +47,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
 
     Each distinct (host, path) is expanded once: host suffixes by numbers of labels, and path
     prefixes by lengths, that occur among the rules, so an expression list is bounded by the rules'
-    own shapes. Expressions meet rules by an equi-join on the first digits of their digests, and
-    full digests confirm.
+    own shapes. Expressions meet rules by an equi-join on the first digits of their digests alone: a row of
+    that table has all rules whose digests begin so, and among these the full digest confirms. Up to FEW_RULES
+    rules, counted first, are broadcast, so that expressions without a rule never leave their task.
 
     Nulls: a null url, or one without ``://``, has empty host and path. Rules with a null host,
     path or verdict never fit. Empty tables give no rows; without rules all take the default.
@@ -62,12 +65,17 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
         "_url_verdict", F.concat("host", "path").alias("_url_rule"),
         F.length("host").alias("_url_host"),
         _digest(F.col("host"), F.col("path")).alias("_url_full"),
-    ).withColumn("_url_short", F.substring("_url_full", 1, PREFIX_DIGITS))
+    )
+    # Rules are distinct, and a short digest of eight digits is shared by a few of them at most.
+    listed = listed.groupBy(F.substring("_url_full", 1, PREFIX_DIGITS).alias("_url_short")).agg(
+        F.collect_list(F.struct("_url_full", "_url_rule", "_url_host", "_url_verdict")).alias("_url_listed"))
     # The shapes of rules: as many numbers as the longest rule has labels and code points, at most.
     shapes = clean.agg(
         F.collect_set(F.size(F.split("host", r"\."))).alias("labels"),
         F.collect_set(F.length("path")).alias("lengths"),
+        F.count(F.lit(1)).alias("n"),
     ).first()
+    listed = F.broadcast(listed) if shapes["n"] <= FEW_RULES else listed
     labels = F.array(*[F.lit(n) for n in sorted(shapes["labels"] or [])]).cast("array<int>")
     lengths = F.array(*[F.lit(n) for n in sorted(shapes["lengths"] or [])]).cast("array<int>")
     n_labels = F.size(F.split("host", r"\."))
@@ -82,10 +90,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
         "_url_prefix", F.explode(prefixes)
     ).withColumn("_url_own", _digest(F.col("_url_suffix"), F.col("_url_prefix"))).select(
         "host", "path", "_url_own", F.substring("_url_own", 1, PREFIX_DIGITS).alias("_url_short"))
-    hits = expressions.join(listed, "_url_short").where(F.col("_url_own") == F.col("_url_full"))
+    hits = expressions.join(listed, "_url_short").select(
+        "host", "path", F.explode(F.filter("_url_listed", lambda x: x["_url_full"] == F.col("_url_own"))).alias("_url_hit"))
     best = hits.groupBy("host", "path").agg(F.max(F.struct(
-        F.length("_url_rule").alias("n"), F.col("_url_host").alias("h"),
-        F.col("_url_rule").alias("rule"), F.col("_url_verdict").alias("verdict"))).alias("_url_best"))
+        F.length("_url_hit._url_rule").alias("n"), F.col("_url_hit._url_host").alias("h"),
+        F.col("_url_hit._url_rule").alias("rule"), F.col("_url_hit._url_verdict").alias("verdict"))).alias("_url_best"))
     judged = parted.join(best, ["host", "path"], "left")
     return judged.select(
         *[judged[c] for c in pages.columns], "host", "path",
