@@ -13,6 +13,8 @@ WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 #: Order scores are cut twice by so many bits to find where a source's sample ends.
 CELL_BITS = 12
+#: Plans of up to so many sources go to every task; larger ones are joined by a shuffle, whose hot sources are split.
+FEW_SOURCES = 10_000
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -58,8 +60,8 @@ def pareto_mix(
     """``docs`` with size, source_size, target and copies (long): how often the mix takes a row.
 
     ``size`` is a long per row, by default the words of ``text`` (null: 0). ``affinity`` is a
-    positive expression per row; expected copies follow it, and it defaults to 1, so that a document
-    expects target / source_size copies. The whole part of the expected copies is certain. The
+    positive expression per row; expected copies follow it up to ``most``, at a rate per source that makes the
+    expected words its target; it defaults to 1, so that a document expects target / source_size copies. The whole part of the expected copies is certain. The
     rest is the inclusion probability p of one copy more: with u uniform by a hash of the key and
     the seed, rows are ranked by (u / (1 - u)) / (p / (1 - p)), and each source takes rows in that
     order until its target is met in words, the last one only if that brings it nearer. No row
@@ -87,8 +89,8 @@ def pareto_mix(
         F.coalesce(affinity if affinity is not None else F.lit(1.0), F.lit(1.0)).cast("double").alias("_mix_a"),
     )
     slim = rows.select("source", "_mix_size", "_mix_u", "_mix_a").checkpoint()
-    plan = sample_plan(slim, weights, most)
-    joined = rows.join(plan.withColumnRenamed("source", "_mix_source"),
+    plan = sample_plan(slim, weights, most, affinity is not None)
+    joined = rows.join(_few(plan).withColumnRenamed("source", "_mix_source"),
                        F.col("source").eqNullSafe(F.col("_mix_source")))
     extra = F.when(_order(F.col("_mix_m") - F.floor("_mix_m")) < F.col("_mix_end"), 1).otherwise(0)
     copies = F.least(F.floor("_mix_m").cast("long") + extra, F.lit(most).cast("long"))
@@ -115,7 +117,38 @@ def _order(p: Column) -> Column:
     return F.when(p <= 0, last).otherwise(F.least(up / (up + down), F.lit(1 - 0.5 ** 30)))
 
 
-def sample_plan(slim: DataFrame, weights: Sequence[float], most: int) -> DataFrame:
+def _few(plan: DataFrame) -> DataFrame:
+    """A frame with a row per source, broadcast if there are few: rows of documents then stay where they are."""
+    return F.broadcast(plan) if plan.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES else plan
+
+
+def _solve(slim: DataFrame, sources: DataFrame, most: int) -> DataFrame:
+    """The rates at which expected words, none above ``most`` times its row, add up to each source's target.
+
+    Rows that a rate lifts to the limit stay there, as rates only rise: the others share what these leave open.
+    Rounds end when no source has another row at its limit.
+    """
+    same = F.col("source").eqNullSafe(F.col("_mix_source"))
+    capped = None
+    while True:
+        held = slim.join(_few(sources.select(F.col("source").alias("_mix_source"), "_mix_rate")), same).withColumn(
+            "_mix_full", F.col("_mix_rate") * F.col("_mix_a") >= most)
+        sums = held.groupBy("_mix_source").agg(
+            F.count_if("_mix_full").alias("n"),
+            F.coalesce(F.sum(F.when(F.col("_mix_full"), F.col("_mix_size"))), F.lit(0)).alias("full"),
+            F.coalesce(F.sum(F.when(~F.col("_mix_full"), F.col("_mix_size") * F.col("_mix_a"))), F.lit(0.0)).alias("open"),
+        ).checkpoint()
+        now = sums.agg(F.sum("n")).first()[0] or 0
+        if now == capped:
+            return sources
+        capped = now
+        rest = F.greatest(F.col("_mix_target") - most * F.col("full"), F.lit(0.0))
+        sources = sources.join(sums, same, "left").withColumn(
+            "_mix_rate", F.when(F.col("open") > 0, F.greatest(rest / F.col("open"), "_mix_rate")).otherwise(F.col("_mix_rate"))
+        ).drop("_mix_source", "n", "full", "open").checkpoint()
+
+
+def sample_plan(slim: DataFrame, weights: Sequence[float], most: int, unequal: bool = True) -> DataFrame:
     """Per source: size, target, expected copies per affinity, and the order score that ends its sample.
 
     Columns source, _mix_source_size, _mix_target, _mix_rate, _mix_end.
@@ -132,7 +165,9 @@ def sample_plan(slim: DataFrame, weights: Sequence[float], most: int) -> DataFra
         F.when(F.col("_mix_weighted") > 0, F.col("target") / F.col("_mix_weighted"))
         .otherwise(0.0).alias("_mix_rate"),
     ).checkpoint()
-    side = sources.withColumnRenamed("source", "_mix_source")
+    if unequal:
+        sources = _solve(slim, sources, most)
+    side = _few(sources.withColumnRenamed("source", "_mix_source"))
     same = F.col("source").eqNullSafe(F.col("_mix_source"))
     expected = slim.join(side, same).withColumn("_mix_m", _expected(most))
     free = F.col("_mix_m") < most
@@ -191,8 +226,8 @@ def _within(rows: DataFrame, end: DataFrame, name: str) -> DataFrame:
 
 
 def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed: doc_id, size, source_size, target, taken."""
+    """All documents mixed: doc_id, size, source_size, target, taken. Longer texts have better chances, by the logarithm of their words."""
     docs = require(spark.read.parquet(f"{sf_dir}/documents.parquet"), ["doc_id", "text", "source"])
-    mixed = pareto_mix(docs)
+    mixed = pareto_mix(docs, affinity=1 + F.log(1 + word_count(F.col("text")).cast("double")))
     return mixed.select("doc_id", "size", "source_size", "target",
                         (F.col("copies") * F.col("size")).alias("taken"))
