@@ -14,7 +14,7 @@ from tripmill.llm.common import folded_words, require, stash, texts_in_pieces
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 #: Documents that the scorer is fitted on, at most, half of them from either side of the weak labels.
-SAMPLE = 2000
+SAMPLE = 4000
 #: Hashed features, the length of the runs of character kinds they count, and the steps of the fit.
 FEATURES, RUN, STEPS = 4096, 5, 150
 #: Documents scored below this are rejected.
@@ -173,8 +173,7 @@ def features(f: Facts) -> np.ndarray:
 
 
 def fit_scorer(x: np.ndarray, y: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """Weights and, last, a bias of a logistic model for soft labels, both sides of equal weight."""
-    x = np.column_stack([x, np.ones(len(x), dtype=np.float32)])
+    """Weights and, last, a bias of a logistic model for soft labels, both sides of equal weight. The last column of ``x`` is all ones."""
     w = np.zeros(x.shape[1], dtype=np.float32)
     share = y.mean() if len(y) else 0.5
     y = y.astype(np.float32)
@@ -213,23 +212,23 @@ def fit_quality(docs: DataFrame, sample: int = SAMPLE) -> tuple[Labels, np.ndarr
     labels = fit_labels(codes, counts) if len(codes) else Labels(0.5, np.full((2, len(LABELLERS), 3), 1 / 3))
     good = labels.posterior(codes) if len(codes) else np.zeros(0)
     belief = dict(zip(codes.tolist(), good.tolist(), strict=True))
-    rows: list[tuple[np.ndarray, float]] = []
 
     @F.arrow_udf("binary")
     def packed(column: pa.Array) -> pa.Array:
         return pa.array([features(f).tobytes() for f in _facts(column, runs=True)], pa.binary())
 
+    # One matrix, filled as rows come in; the last column is for the bias.
+    x, y = np.ones((sample, FEATURES + 1), dtype=np.float32), np.zeros(sample)
+    n = 0
     sides = [side.tolist() for side in (codes[good >= 0.5], codes[good < 0.5]) if len(side)]
     for side in sides:
-        # At most sample / 2 rows, so that they may be broadcast.
-        chosen = voted.where(F.col("code").isin(side)).orderBy("h", "code").limit(sample // 2).dropDuplicates(["h"])
-        texts = docs.select(key, "text").join(F.broadcast(chosen), "h").limit(sample)
+        # At most sample / 2 rows, so that they may be broadcast. Copies of a row count once.
+        chosen = voted.where(F.col("code").isin(side)).dropDuplicates(["h"]).orderBy("h", "code").limit(sample // 2)
+        texts = docs.select(key, "text").join(F.broadcast(chosen), "h").dropDuplicates(["h"])
         for r in texts.select("code", packed(F.col("text")).alias("x")).toLocalIterator():
-            rows.append((np.frombuffer(r["x"], dtype=np.float32), belief[r["code"]]))
-    x = np.stack([r[0] for r in rows]) if rows else np.zeros((0, FEATURES), dtype=np.float32)
-    y = np.asarray([r[1] for r in rows])
-    rows.clear()
-    return labels, fit_scorer(x, y)
+            x[n, :-1], y[n] = np.frombuffer(r["x"], dtype=np.float32), belief[r["code"]]
+            n += 1
+    return labels, fit_scorer(x[:n], y[:n])
 
 
 def classify(docs: DataFrame, sample: int = SAMPLE, cut: float = CUT) -> DataFrame:
