@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import connected, require, stash
-from tripmill.llm.vectors import blocks, dump, load, usable
+from tripmill.llm.vectors import blocks, dump, load, matrix, usable
 
 THRESHOLD = 0.93
-#: Vectors of one graph, and of one block of queries.
-SHARD_ROWS, BLOCK_ROWS = 8192, 1024
+#: Vectors of one graph, queries that meet it in one task, and those that are searched and audited together.
+SHARD_ROWS, ASKED_ROWS, BLOCK_ROWS = 8192, 4096, 1024
 #: Links per node (twice as many on the ground layer), and the beam when building.
 LINKS, BUILD_BEAM = 12, 48
 #: First beam of a search, queries that each block audits by brute force, and the recall these must show.
@@ -236,43 +236,51 @@ def _graphs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             exact = own["vectors"] / np.linalg.norm(own["vectors"], axis=1, keepdims=True)
             graph = SmallWorld.build(exact.astype(np.float32))
             made.append(dump(id=own["id"], copies=own["copies"], exact=exact, layers=graph.layers, entry=graph.entry))
-        yield pa.RecordBatch.from_arrays([*batch.select(["label", "dim", "shard"]).columns, pa.array(made, pa.binary())], ["label", "dim", "shard", "graph"])
+        keys = batch.select(["label", "dim", "salts", "shard"])
+        yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(made, pa.binary())], [*keys.schema.names, "graph"])
 
 
 def _finder(threshold: float):
-    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for graph, data in zip(batch.column("graph"), batch.column("data"), strict=True):
-                g, q = load(graph), load(data)
-                world = SmallWorld(g["exact"].astype(np.float32), g["layers"], g["entry"])
-                queries = q["vectors"] / np.linalg.norm(q["vectors"], axis=1, keepdims=True)
-                ids = np.unique(np.concatenate([g["id"], q["id"]]))
-                parent = np.arange(len(ids))
-
-                def root(x, parent=parent):
-                    while parent[x] != x:
-                        parent[x] = parent[parent[x]]
-                        x = parent[x]
-                    return x
-
-                n_links = np.zeros(len(q["id"]), dtype=np.int64)
-                where = np.searchsorted(ids, g["id"])
-                for r, near in links_at(world, g["exact"], queries, threshold):
-                    others = near[g["id"][near] != q["id"][r]]
-                    n_links[r] = g["copies"][others].sum()
-                    me = root(np.searchsorted(ids, q["id"][r]))
-                    for other in where[others]:
-                        other = root(other)
-                        if other != me:
-                            me, other = min(me, other), max(me, other)
-                            parent[other] = me
-                top = ids[[root(x) for x in np.searchsorted(ids, q["id"])]]
-                yield pa.RecordBatch.from_arrays([pa.array(q["id"]), pa.array(n_links), pa.array(top)], ["id", "n_links", "top"])
-                rest = np.setdiff1d(ids, q["id"])
-                tops = ids[[root(x) for x in np.searchsorted(ids, rest)]] if len(rest) else rest
-                moved = tops != rest
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rest[moved]), pa.array(np.zeros(moved.sum(), np.int64)), pa.array(tops[moved])], ["id", "n_links", "top"])
+    def find(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Rows (id, n_links, top): of each query its links in this graph, and of every node that they move its smallest one."""
+        names = ["id", "n_links", "top"]
+        if not left.num_rows or not right.num_rows:
+            none = pa.array([], pa.int64())
+            return pa.table([none, none, none], names)
+        g = load(left.column("graph")[0])
+        world = SmallWorld(g["exact"].astype(np.float32), g["layers"], g["entry"])
+        right = right.sort_by("id")
+        asked = right.column("id").to_numpy()
+        queries = matrix(right.column("vector"))
+        queries = queries / np.linalg.norm(queries, axis=1, keepdims=True)
+        ids = np.unique(np.concatenate([g["id"], asked]))
+        parent = np.arange(len(ids))
+
+        def root(x):
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        n_links = np.zeros(len(asked), dtype=np.int64)
+        where, own = np.searchsorted(ids, g["id"]), np.searchsorted(ids, asked)
+        for at in range(0, len(asked), BLOCK_ROWS):
+            for r, near in links_at(world, g["exact"], queries[at:at + BLOCK_ROWS], threshold):
+                r += at
+                others = near[g["id"][near] != asked[r]]
+                n_links[r] = g["copies"][others].sum()
+                me = root(own[r])
+                for other in where[others]:
+                    other = root(other)
+                    if other != me:
+                        me, other = min(me, other), max(me, other)
+                        parent[other] = me
+        rest = np.setdiff1d(ids, asked)
+        tops = ids[[root(x) for x in np.searchsorted(ids, rest)]] if len(rest) else rest
+        moved = tops != rest
+        return pa.table([
+            pa.array(np.concatenate([asked, rest[moved]])), pa.array(np.concatenate([n_links, np.zeros(moved.sum(), np.int64)])),
+            pa.array(np.concatenate([ids[[root(x) for x in own]], tops[moved]]))], names)
 
     return find
 
@@ -282,9 +290,9 @@ def near_dedup(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame
 
     Vectors of one label (and one dimension) link at a cosine of ``threshold`` or more, in double
     precision. Equal vectors are one node from the start, counted as often as they occur. A label's
-    nodes are dealt to graphs of about SHARD_ROWS, and every block of queries is sent to every
-    graph of its label. A task gives counts and one edge per node, never pairs; components come
-    from these edges.
+    nodes are dealt to graphs of about SHARD_ROWS, and every node asks every graph of its label, in parts of
+    about ASKED_ROWS that a graph travels to once. A task gives counts and one edge per node, never pairs;
+    components come from these edges.
 
     Searches repeat with wider beams until each block's audit by brute force shows a recall of
     RECALL, and end with all pairs of the block if no beam does, so a link can be missed, but none
@@ -301,15 +309,19 @@ def near_dedup(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame
         F.min("vec_id").alias("id"), F.count("*").alias("copies")).withColumn("dim", F.size("vector"))
     nodes = stash(nodes, "vector-nodes")
     sizes = nodes.groupBy("label", "dim").agg(F.count("*").alias("n"))
+    parts = lambda rows: F.ceil(F.col("n") / rows).cast("int")
     dealt = nodes.join(sizes, ["label", "dim"]).select(
-        "label", "dim", "vector", "id", "copies",
-        F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / SHARD_ROWS)).cast("int").alias("shard"),
-        F.pmod(F.xxhash64("id", F.lit(1)), F.ceil(F.col("n") / BLOCK_ROWS)).cast("int").alias("block"))
-    graphs = stash(blocks(dealt, ["label", "dim"], "shard", ["copies"]).mapInArrow(
-        _graphs, f"label {dict(nodes.dtypes)['label']}, dim int, shard int, graph binary"), "graphs")
-    queries = blocks(dealt, ["label", "dim"], "block")
-    met = graphs.join(queries, ["label", "dim"]).repartition("label", "dim", "shard", "block").select("graph", "data")
-    found = stash(met.mapInArrow(_finder(threshold), "id long, n_links long, top long"), "vector-links")
+        "label", "dim", "vector", "id", "copies", parts(SHARD_ROWS).alias("shards"), parts(ASKED_ROWS).alias("salts"))
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
+    graphs = stash(blocks(dealt, ["label", "dim", "salts"], "shard", ["copies"]).mapInArrow(
+        _graphs, f"label {dict(nodes.dtypes)['label']}, dim int, salts int, shard int, graph binary"), "graphs")
+    keys = ["label", "dim", "shard", "salt"]
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = dealt.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(1)), F.col("salts")).cast("int")).drop("shard").withColumn(
+        "shard", numbers("shards")).select(*keys, "id", "vector")
+    parted = graphs.withColumn("salt", numbers("salts")).select(*keys, "graph")
+    met = parted.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(_finder(threshold), "id long, n_links long, top long")
+    found = stash(met, "vector-links")
     classes = connected(found.where("id <> top").select(F.col("id").alias("a"), F.col("top").alias("b")))
     counts = found.groupBy("id").agg(F.sum("n_links").alias("others"))
     result = nodes.join(counts, "id", "left").join(classes, F.col("id") == F.col("node"), "left").select(
