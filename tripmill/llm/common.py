@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Sequence
 
 import numpy as np
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill.session import shared_dir
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -23,18 +24,10 @@ _PIECE = 1 << 20
 BATCH_BYTES = 8 << 20
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; where that is unset, below the warehouse."""
-    parent = spark.conf.get("spark.checkpoint.dir", None)
-    if not parent:
-        parent = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-    return f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
-
-
 def stash(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = shared_folder(spark, label)
+    path = shared_dir(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
