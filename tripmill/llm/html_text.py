@@ -206,7 +206,9 @@ def read_page(page: str) -> _Page:
         if tag in _INLINE:
             path = top[2]
         else:
-            step = tag + ("." + name.split()[0].lower() if name else "")
+            # What stands around an article has paths of its own.
+            aside = "~" if out.beside and out.beside[-1] == number else ""
+            step = aside + tag + ("." + name.split()[0].lower() if name else "")
             path = known_paths.get((top[2], step))
             if path is None:
                 path = known_paths[top[2], step] = len(out.paths)
