@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripmill import functions as X
 from tripmill import operators as op
 from tripmill.plans.registry import query, table
-from tripmill.schemas import FHV_STAGED, TRIP_MESSAGE
+from tripmill.schemas import FHV_STAGED, MESSAGE_FIELDS, TRIP_MESSAGE
 
 # ---- counts and filters ------------------------------------------------------------------------
 
@@ -192,14 +192,6 @@ def coerced_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_MESSAGES = dict(
-    times=["lpep_pickup_datetime", "lpep_dropoff_datetime"],
-    ints=["PULocationID", "DOLocationID", "passenger_count"],
-    doubles=["trip_distance", "tip_amount", "total_amount"],
-    zero_if_null=["passenger_count"],
-)
-
-
 def _message_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     signup = F.col("event_type") == "signup"
     return table(spark, sf_dir, "events").select(
@@ -225,7 +217,7 @@ def _message_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows to JSON messages and back; rows without a dropoff time cannot be sent."""
-    messages = op.to_message(_message_source(spark, sf_dir), **_MESSAGES)
+    messages = op.to_message(_message_source(spark, sf_dir), **MESSAGE_FIELDS)
     return op.from_message(messages, TRIP_MESSAGE)
 
 
@@ -235,8 +227,8 @@ def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def message_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _message_source(spark, sf_dir)
-    sent = op.to_message(source, **_MESSAGES).select(F.lit(1).alias("sent"))
-    skipped = op.unsendable(source, **_MESSAGES).select(F.lit(1).alias("skipped"))
+    sent = op.to_message(source, **MESSAGE_FIELDS).select(F.lit(1).alias("sent"))
+    skipped = op.unsendable(source, **MESSAGE_FIELDS).select(F.lit(1).alias("skipped"))
     both = op.union_trips(sent, skipped)
     return both.agg(F.count("sent").alias("sent"), F.count("skipped").alias("skipped"))
 

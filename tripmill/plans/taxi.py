@@ -14,7 +14,7 @@ from tripmill import functions as X
 from tripmill import operators as op
 from tripmill import sinks, sources
 from tripmill import streaming as st
-from tripmill.schemas import TIME_COLUMNS, TRIP_MESSAGE, YELLOW_CSV, YELLOW_NARROW
+from tripmill.schemas import MESSAGE_FIELDS, TIME_COLUMNS, TRIP_MESSAGE, YELLOW_CSV, YELLOW_NARROW
 
 # ---- month files into a relational database ----------------------------------------------------
 
@@ -184,21 +184,13 @@ def payment_overview(rows: DataFrame) -> PaymentOverview:
 
 # ---- messages and streams ----------------------------------------------------------------------
 
-_MESSAGE = dict(
-    times=["lpep_pickup_datetime", "lpep_dropoff_datetime"],
-    ints=["PULocationID", "DOLocationID", "passenger_count"],
-    doubles=["trip_distance", "tip_amount", "total_amount"],
-    zero_if_null=["passenger_count"],
-)
-
-
 def publish_green(
     trips: DataFrame, path: str | None = None, kafka: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Send green trips as JSON; returns the rows that could not be sent."""
     rows = trips.select(*TRIP_MESSAGE.names)
-    sinks.publish_json(op.to_message(rows, **_MESSAGE), path, kafka)
-    return op.unsendable(rows, **_MESSAGE)
+    sinks.publish_json(op.to_message(rows, **MESSAGE_FIELDS), path, kafka)
+    return op.unsendable(rows, **MESSAGE_FIELDS)
 
 
 def green_stream(

@@ -118,6 +118,14 @@ TRIP_MESSAGE = _struct(
     ("total_amount", DOUBLE),
 )
 
+# How the columns of a trip message are written.
+MESSAGE_FIELDS = {
+    "times": ["lpep_pickup_datetime", "lpep_dropoff_datetime"],
+    "ints": ["PULocationID", "DOLocationID", "passenger_count"],
+    "doubles": ["trip_distance", "tip_amount", "total_amount"],
+    "zero_if_null": ["passenger_count"],
+}
+
 # Code lists of the source description.
 VENDOR_CODES = (1, 2)
 RATE_CODES = (1, 2, 3, 4, 5, 6)
