@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import ctypes
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,9 @@ from tripmill.session import shared_dir
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: The C library's way to return free memory, where it has one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 _U = np.uint64
 # Fixed odd multipliers of the text hashes.
 _BYTE_STEP = 0x9E3779B97F4A7C15
@@ -45,6 +49,23 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers wait for their next task, and several share an executor."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def lean(work: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work`` on a task's batches, after which its worker holds no more than it needs."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        release()
+
+    return run
+
+
 # ---- text hashing in numpy -------------------------------------------------------------------
 
 def mix64(x: np.ndarray) -> np.ndarray:

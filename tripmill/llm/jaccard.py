@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import connected, folded_words, mix64, require, shuffles, stash, texts_in_pieces
+from tripmill.llm.common import connected, folded_words, lean, mix64, require, shuffles, stash, texts_in_pieces
 
 WORDS = 5
 #: Similarity as a share in percent, so that the test is on whole numbers.
@@ -131,7 +131,7 @@ def _survey(words: int) -> Callable:
                 drawn.add(a)
                 waiting.append(shingles)
                 held += len(shingles)
-                if held > CELLS:
+                if held > CELLS // 4:
                     cells += np.bincount((np.concatenate(waiting) & _U(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
                     waiting, held = [], 0
             if waiting:
@@ -281,7 +281,7 @@ def overlaps(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
             cells[batch.column("sid").to_numpy() & (CELLS - 1)] = 1
         yield _slices(cells)
 
-    marks = add_up(wanted.mapInArrow(mark, "slice int, cells binary")) > 0
+    marks = add_up(wanted.mapInArrow(lean(mark), "slice int, cells binary")) > 0
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -313,11 +313,11 @@ def overlaps(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shared, pa.int64())], ["a", "b", "shared"])
 
     named = wanted.distinct()
-    held = require(docs, ["text"]).mapInArrow(sets, "sid long, shingles binary").join(named, "sid", "left_semi")
+    held = require(docs, ["text"]).mapInArrow(lean(sets), "sid long, shingles binary").join(named, "sid", "left_semi")
     held = stash(held.dropDuplicates(["sid"]), "sets")
     both = pairs.join(held.select(F.col("sid").alias("a"), F.col("shingles").alias("x")), "a").join(
         held.select(F.col("sid").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(count, "a long, b long, shared long")
+    return both.select("a", "b", "x", "y").mapInArrow(lean(count), "a long, b long, shared long")
 
 
 # ---- the join --------------------------------------------------------------------------------
@@ -349,7 +349,7 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     docs = require(docs, ["doc_id", "text"])
     spark = docs.sparkSession
     survey = stash(docs.mapInArrow(
-        _survey(words), "doc_id long, n long, s1 long, s2 long, sketch binary, slice int, cells binary"), "sets-survey")
+        lean(_survey(words)), "doc_id long, n long, s1 long, s2 long, sketch binary, slice int, cells binary"), "sets-survey")
     cells = add_up(survey.where(F.col("slice").isNotNull()).select("slice", "cells"))
     known = survey.where(F.col("slice").isNull()).select("doc_id", "n", "s1", "s2")
     sketches = survey.where(F.col("sketch").isNotNull()).select(F.col("s1").alias("sid"), "sketch")
@@ -360,8 +360,8 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     kinds = np.floor(np.log2(cells.astype(np.float64) + 1)).astype(np.uint8)
     heavy = int(math.log2(max(64.0, HEAVY * float(cells.mean()))))
 
-    index = docs.mapInArrow(_index(words, percent, kinds, heavy, 8 * partitions), "part long, entries binary")
-    dealt = index.repartition(partitions, "part").mapInArrow(_lists(heavy), "token long, sid long, n int, pos int")
+    index = docs.mapInArrow(lean(_index(words, percent, kinds, heavy, 8 * partitions)), "part long, entries binary")
+    dealt = index.repartition(partitions, "part").mapInArrow(lean(_lists(heavy)), "token long, sid long, n int, pos int")
     # Lists of equal sets are one, with each set's first position.
     lists = stash(dealt.groupBy("token", "sid").agg(
         F.min("n").alias("n"), F.min("pos").alias("pos"), F.count("*").alias("shingles")), "lists")

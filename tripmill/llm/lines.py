@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import mix64, require, shuffles, stash
+from tripmill.llm.common import lean, mix64, require, shuffles, stash
 
 MIN_LENGTH = 40
 MIN_DOCS = 5
@@ -134,7 +134,7 @@ def line_postings(docs: DataFrame, min_length: int) -> DataFrame:
             ids = batch.column("doc_id").take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), ids], ["h1", "h2", "doc_id"])
 
-    return require(docs, ["doc_id", "text"]).mapInArrow(keys, "h1 long, h2 long, doc_id long")
+    return require(docs, ["doc_id", "text"]).mapInArrow(lean(keys), "h1 long, h2 long, doc_id long")
 
 
 # ---- the index ------------------------------------------------------------------------------
@@ -198,7 +198,7 @@ class LineIndex:
             "shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("kind"),
             "filter", *[F.lit(None).cast("long").alias(c) for c in ("h1", "h2", "doc_id")])
         dealt = lines.unionByName(filters).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
-        passed = dealt.mapInArrow(_probe, "h1 long, h2 long, doc_id long")
+        passed = dealt.mapInArrow(lean(_probe), "h1 long, h2 long, doc_id long")
         return passed.join(self.refs, ["h1", "h2"]).where(
             F.col("doc_id").isNull() | (F.col("doc_id") < F.col("top_doc"))).select("doc_id", "h1", "h2")
 

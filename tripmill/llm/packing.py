@@ -12,13 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import require, shuffles, stash
+from tripmill.llm.common import lean, require, shuffles, stash
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Words whose ids a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Pieces of one length that one task ranks, about.
 RANKED = 50_000
 
@@ -253,7 +253,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
                 [ids, pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return require(docs, ["doc_id", "text"]).mapInArrow(cut, schema)
+    return require(docs, ["doc_id", "text"]).mapInArrow(lean(cut), schema)
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -298,7 +298,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
                 [*own.schema.names, "sequence_id", "offset"])
 
     return ranked.mapInArrow(
-        place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+        lean(place), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

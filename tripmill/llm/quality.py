@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import folded_words, require, stash, texts_in_pieces
+from tripmill.llm.common import folded_words, release, require, stash, texts_in_pieces
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 #: Documents that the scorer is fitted on, at most, half of them from either side of the weak labels.
@@ -120,6 +120,7 @@ def votes_of(text: Column) -> Column:
         for f in _facts(column, runs=False):
             votes = [label(f) for label in LABELLERS] if f.words else []
             out.append(sum(v * 3**i for i, v in enumerate(votes)) if f.words else -1)
+        release()
         return pa.array(out, pa.int32())
 
     return code(text)
@@ -194,6 +195,7 @@ def score_of(text: Column, weights: np.ndarray) -> Column:
     def score(column: pa.Array) -> pa.Array:
         out = [float(features(f) @ weights[:-1] + weights[-1]) if f.words else -np.inf for f in _facts(column, runs=True)]
         raw = np.asarray(out, dtype=float)
+        release()
         return pa.array(np.where(raw == -np.inf, 0.0, 1 / (1 + np.exp(-np.clip(raw, -700, 700)))))
 
     return score(text)
