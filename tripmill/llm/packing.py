@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 import zlib
 from collections import defaultdict
@@ -164,6 +165,10 @@ for _b in range(256):
 _PROBES = ("a", "word", "größe", "çedilla", "straße", "ñandú", "слово", "naïvetés", "zzzzzz")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds(dict):
     """Ids of a word as little-endian 32-bit bytes. No token of this vocabulary spans white space.
 
@@ -182,12 +187,12 @@ class WordIds(dict):
         self.plain = all(self._letters(w.encode()) == self._encode(w) for w in _PROBES)
 
     def _encode(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _letters(self, word: bytes) -> bytes:
         """Of a folded, composed word of letters alone, which is one piece for the model."""
         text = word.decode("ascii") if word.isascii() else "".join(map(_BYTE_CHARS.__getitem__, word))
-        return np.asarray([t.id for t in self.model.tokenize(text)], dtype="<u4").tobytes()
+        return _packed([t.id for t in self.model.tokenize(text)])
 
     def _one_piece(self, word: bytes) -> bool:
         if word.isascii():
@@ -196,12 +201,12 @@ class WordIds(dict):
         return text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)
 
     def __missing__(self, word: bytes) -> bytes:
+        # A mark after a letter is a token run of its own, so the word is looked up, and remembered, without it.
+        if len(word) > 1 and word[-1] in b".,;:!?" and 97 <= word[-2] <= 122:
+            return self[word[:-1]] + self[word[-1:]]
         out = self.older.get(word)
         if out is None:
-            # A mark after a letter is a token run of its own, so the word is looked up without it.
-            if len(word) > 1 and word[-1] in b".,;:!?" and 97 <= word[-2] <= 122:
-                out = self[word[:-1]] + self[word[-1:]]
-            elif self.plain and self._one_piece(word):
+            if self.plain and self._one_piece(word):
                 out = self._letters(word)
             else:
                 out = self._encode(word.decode("utf-8"))
