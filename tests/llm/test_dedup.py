@@ -112,6 +112,45 @@ def test_line_index_can_be_undone(spark):
     assert table(grown) == table(whole) and table(back) == table(index)
 
 
+def _lined(ids, step=7):
+    return [(i, "\n".join(f"shared passage number {(i * k) % 60:04d} of many documents" for k in range(1, step))) for i in ids]
+
+
+def test_small_changes_touch_their_own_keys(spark):
+    """The base stays as it is, only the postings of changed documents are written, and counts equal a new build."""
+    rows = {i: t for i, t in _lined(range(300))}
+    index = lines.LineIndex.build(_frame(spark, rows.items()))
+    base, old = index.base.inputFiles(), sorted(map(tuple, index.refs.collect()))
+    rng = np.random.default_rng(11)
+    new, known = 1000, index
+    for turn in range(2):
+        more = [(new + i, t + f"\n{LONG} {turn}") for i, (_, t) in enumerate(_lined(rng.integers(0, 300, 2).tolist()))]
+        more.append((5, rows.get(5, f"{LONG} again")))  # known already, and its lines come back once deleted
+        known = known.insert(_frame(spark, more))
+        rows |= dict(more)
+        gone = [5, int(rng.choice(sorted(rows))), 77_777]
+        known = known.delete(spark.createDataFrame([(i,) for i in gone], "doc_id long"))
+        rows = {i: t for i, t in rows.items() if i not in gone}
+        new += 10
+        assert known.base.inputFiles() == base
+        assert known.net.count() <= sum(len(t.split("\n")) for _, t in more) * (turn + 1) + 6 * 2 * (turn + 1)
+        fresh = lines.LineIndex.build(_frame(spark, rows.items()))
+        for table in ("postings", "refs"):
+            assert sorted(map(tuple, getattr(known, table).collect())) == sorted(map(tuple, getattr(fresh, table).collect()))
+        assert {r.doc_id: r.text for r in known.dedup(_frame(spark, rows.items())).collect()} == _cut(rows.items(), 5)
+    assert sorted(map(tuple, index.refs.collect())) == old
+    assert known.delete(_frame(spark, rows.items()).select("doc_id")).net is None
+
+
+def test_shards_of_the_line_index_grow(spark, monkeypatch):
+    monkeypatch.setattr(lines, "SHARD_KEYS", 4)
+    index = lines.LineIndex.build(_frame(spark, _lined(range(6), 3)))
+    grown = index.insert(_frame(spark, _lined(range(6, 200))))
+    assert grown.shards > 2 * index.shards
+    assert {r.doc_id: r.text for r in grown.dedup(_frame(spark, _lined(range(6), 3) + _lined(range(6, 200)))).collect()} == _cut(
+        _lined(range(6), 3) + _lined(range(6, 200)), 5)
+
+
 def test_line_dedup_counts(spark):
     out = {r.doc_id: r for r in lines.LineIndex.build(_frame(spark, ROWS)).dedup(_frame(spark, ROWS)).collect()}
     assert (out[6].n_lines, out[6].n_dropped, out[6].text, out[6].shard) == (1, 0, "", 1)

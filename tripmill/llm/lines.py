@@ -21,6 +21,8 @@ SLOTS, MOVES = 4, 500
 SHARD_KEYS = 1 << 17
 #: Each shard's lines are dealt to so many tasks at least, so that a line of very many documents is spread.
 SALTS = 16
+#: Changes are folded into the postings when they are over this part of them.
+FOLD = 4
 
 _U = np.uint64
 
@@ -146,42 +148,66 @@ def _shard(n: int) -> Column:
 class LineIndex:
     """Which documents hold which line, kept exactly, and a cuckoo filter per shard of the repeated ones.
 
-    ``postings``: (h1, h2, doc_id), distinct: the exact table, from which every count follows.
+    ``base``: (h1, h2, doc_id), distinct: the exact table as it was when last folded.
+    ``net``: (h1, h2, doc_id, step), what changed since: rows to add (step 1, not in the base) and to take away (-1, in the
+    base). None for no change.
     ``refs``: (h1, h2, n_docs, top_doc) of keys in at least ``min_docs`` documents.
-    ``filters``: (shard, filter), the refs' keys. All three are tables in the shared folder; each
+    ``filters``: (shard, filter), the refs' keys. All are tables in the shared folder; each
     change gives a new index and leaves the old one as it was, so a change can be undone.
+
+    A change writes the postings of its own documents and counts again the keys that these touch, no others. The base
+    is read for that, but written anew only when the changes are over a ``FOLD``-th of it; shards are dealt anew
+    when they hold twice as many keys as they were made for.
     """
 
-    def __init__(self, postings, refs, filters, shards, min_docs, min_length):
-        self.postings, self.refs, self.filters = postings, refs, filters
+    def __init__(self, base, net, refs, filters, shards, min_docs, min_length):
+        self.base, self.net, self.refs, self.filters = base, net, refs, filters
         self.shards, self.min_docs, self.min_length = shards, min_docs, min_length
 
     @classmethod
     def build(cls, docs: DataFrame, min_docs: int = MIN_DOCS, min_length: int = MIN_LENGTH) -> LineIndex:
-        return cls._of(line_postings(docs, min_length).distinct(), min_docs, min_length)
+        base = stash(line_postings(docs, min_length).distinct(), "line-postings")
+        refs = stash(_counted(base, min_docs), "line-refs")
+        shards = max(1, -(-refs.count() // SHARD_KEYS))
+        return cls(base, None, refs, stash(_new_filters(refs, shards), "line-filters"), shards, min_docs, min_length)
 
-    @classmethod
-    def _of(cls, postings, min_docs, min_length, old: LineIndex | None = None) -> LineIndex:
-        postings = stash(postings, "line-postings")
-        refs = stash(_counted(postings, min_docs), "line-refs")
-        if old is None:
-            shards = max(1, -(-refs.count() // SHARD_KEYS))
-            filters = refs.select("h1", _shard(shards)).groupBy("shard").applyInArrow(_new_filter, "shard int, filter binary")
-        else:
-            shards = old.shards
-            filters = _changed_filters(old, refs)
-        return cls(postings, refs, stash(filters, "line-filters"), shards, min_docs, min_length)
+    @property
+    def postings(self) -> DataFrame:
+        """(h1, h2, doc_id) of every document now in the index, distinct."""
+        return _applied(self.base, self.net)
 
     def insert(self, docs: DataFrame) -> LineIndex:
         """With more documents. Lines that a document already has here count once."""
-        more = line_postings(docs, self.min_length)
-        return self._of(self.postings.unionByName(more).distinct(), self.min_docs, self.min_length, self)
+        more = stash(line_postings(docs, self.min_length).distinct(), "line-inserted")
+        known = self.postings.join(more.select("h1").distinct(), "h1", "left_semi")
+        return self._changed(_without(more, known).withColumn("step", F.lit(1)))
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
         """Without the documents whose doc_id is in ``doc_ids``; what they held is as if never inserted."""
         gone = doc_ids.select(F.col("doc_id").alias("_gone")).distinct()
-        left = self.postings.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
-        return self._of(left, self.min_docs, self.min_length, self)
+        held = self.postings.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_semi")
+        return self._changed(held.withColumn("step", F.lit(-1)))
+
+    def _changed(self, change: DataFrame) -> LineIndex:
+        """The index after steps that each add a row it does not hold, or take away one that it holds."""
+        change = stash(change.select("h1", "h2", "doc_id", "step"), "line-change")
+        net = change
+        if self.net is not None:  # a row taken away and added again is no change
+            net = self.net.unionByName(change).groupBy("h1", "h2", "doc_id").agg(
+                F.sum("step").cast("int").alias("step")).where("step <> 0")
+            net = stash(net, "line-net")
+        base = self.base
+        if net.count() * FOLD > base.count():
+            base, net = stash(_applied(base, net), "line-postings"), None
+        touched = change.select("h1").distinct()
+        counted = stash(_counted(_applied(base, net).join(touched, "h1", "left_semi"), self.min_docs), "line-recounted")
+        refs = stash(self.refs.join(touched, "h1", "left_anti").unionByName(counted), "line-refs")
+        shards, need = self.shards, -(-refs.count() // SHARD_KEYS)
+        if need > 2 * shards:
+            shards, filters = need, _new_filters(refs, need)
+        else:
+            filters = _changed_filters(self, refs, self.refs.join(touched, "h1", "left_semi"), counted)
+        return LineIndex(base, net, refs, stash(filters, "line-filters"), shards, self.min_docs, self.min_length)
 
     def repeated(self, postings: DataFrame) -> DataFrame:
         """(doc_id, h1, h2) of the given lines that their document loses.
@@ -231,18 +257,38 @@ def _counted(postings: DataFrame, min_docs: int) -> DataFrame:
         F.count("*").alias("n_docs"), F.max("doc_id").alias("top_doc")).where(F.col("n_docs") >= min_docs)
 
 
+def _without(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Postings that are not among ``others``; null is a doc_id like any other."""
+    theirs = others.select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("doc_id").alias("_doc"))
+    same = (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
+    return rows.join(theirs, same, "left_anti")
+
+
+def _applied(base: DataFrame, net: DataFrame | None) -> DataFrame:
+    if net is None:
+        return base
+    return _without(base, net.where("step < 0")).unionByName(net.where("step > 0").drop("step"))
+
+
+def _new_filters(refs: DataFrame, shards: int) -> DataFrame:
+    return refs.select("h1", _shard(shards)).groupBy("shard").applyInArrow(_new_filter, "shard int, filter binary")
+
+
 def _new_filter(table: pa.Table) -> pa.Table:
     keys = np.unique(table.column("h1").to_numpy())
     shard = table.column("shard")[0].as_py()
     return pa.table({"shard": pa.array([shard], pa.int32()), "filter": pa.array([CuckooFilter.of(keys).dump()], pa.binary())})
 
 
-def _changed_filters(old: LineIndex, refs: DataFrame) -> DataFrame:
-    """The old filters with keys that now reach the count inserted, and those that fell below it removed."""
+def _changed_filters(old: LineIndex, refs: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """The old filters with keys that now reach the count inserted, and those that fell below it removed.
+
+    ``before`` and ``after`` are the old and new refs of the keys that were touched.
+    """
     n = old.shards
     h1 = lambda df: df.select("h1").distinct()
-    change = h1(refs).join(h1(old.refs), "h1", "left_anti").select("h1", F.lit(1).alias("step")).unionByName(
-        h1(old.refs).join(h1(refs), "h1", "left_anti").select("h1", F.lit(-1).alias("step"))
+    change = h1(after).join(h1(before), "h1", "left_anti").select("h1", F.lit(1).alias("step")).unionByName(
+        h1(before).join(h1(after), "h1", "left_anti").select("h1", F.lit(-1).alias("step"))
     ).select("h1", "step", _shard(n))
 
     def change_one(key, filters: pa.Table, changes: pa.Table) -> pa.Table:
@@ -263,9 +309,8 @@ def _changed_filters(old: LineIndex, refs: DataFrame) -> DataFrame:
         change_one, "shard int, filter binary"), "line-filters-changed")
     # A filter that ran full is built anew from the exact table.
     full = changed.where(F.length("filter") == 0).select("shard")
-    anew = refs.select("h1", _shard(n)).join(full, "shard", "left_semi").groupBy("shard").applyInArrow(
-        _new_filter, "shard int, filter binary")
-    return changed.where(F.length("filter") > 0).unionByName(anew)
+    anew = refs.select("h1", "h2", _shard(n)).join(full, "shard", "left_semi")
+    return changed.where(F.length("filter") > 0).unionByName(_new_filters(anew, n))
 
 
 def _probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
