@@ -3,11 +3,14 @@ import json
 import os
 from datetime import datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import types as T
 
 from tripmill import sources
 from tripmill.schemas import NORMAL_TRIPS, YELLOW_CSV
+from tripmill.sources import files
 
 # ---- CSV ---------------------------------------------------------------------------------------
 
@@ -102,6 +105,50 @@ def test_union_by_name_refuses_types_without_a_common_one(spark, tmp_path):
         sources.read_union_by_name(spark, f"{tmp_path}/*")
 
 
+def _alternating(tmp_path, n):
+    """Files whose types change by turns; a name needs escaping in a URI."""
+    (tmp_path / "t").mkdir()
+    for i in range(n):
+        kind = (pa.int32(), pa.int64(), pa.float64())[i % 3]
+        table = pa.table({"a": pa.array([i], kind), f"own_{i % 2}": [i]})
+        pq.write_table(table, tmp_path / "t" / f"part {i:04d}.parquet")
+    return str(tmp_path / "t")
+
+
+def test_union_of_files_that_alternate_takes_one_census(spark, tmp_path, rows):
+    path = _alternating(tmp_path, 1000)
+    tracker, group = spark.sparkContext.statusTracker(), "census"
+    spark.sparkContext.setJobGroup(group, "")
+    df = sources.read_union_by_name(spark, path)
+    jobs = len(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("", "")
+    # The refused merge, the listing, the census, six distinct footers, three merges and three scans: not one for each file.
+    assert jobs <= 30
+    assert {f.name: f.dataType.simpleString() for f in df.schema} == {"a": "double", "own_0": "bigint", "own_1": "bigint"}
+    assert df.count() == 1000 and df.where("a = coalesce(own_0, own_1)").count() == 1000
+    assert str(df._jdf.queryExecution().optimizedPlan()).count("Relation [") == 3
+
+
+def test_files_that_tasks_cannot_open_are_halved(spark, tmp_path, monkeypatch, rows):
+    path = _alternating(tmp_path, 9)
+    unread = lambda spark, files: spark.createDataFrame([(None, f) for f in files], "footer string, path string")
+    monkeypatch.setattr(files, "schema_census", unread)
+    df = sources.read_union_by_name(spark, path)
+    assert rows(df.select("a")) == sorted([(float(i),) for i in range(9)])
+
+
+def test_census_groups_columns_that_merge(spark, tmp_path, rows):
+    spark.sql("SELECT 1 a, named_struct('x', 1) s, 1.25BD d").write.parquet(f"{tmp_path}/t/p=1")
+    spark.sql("SELECT 2 a, named_struct('y', 'u') s, 111.25BD d").write.parquet(f"{tmp_path}/t/p=b")
+    spark.sql("SELECT 3L a").write.parquet(f"{tmp_path}/t/p=c")
+    spark.sql("SELECT 4L a").where("false").write.parquet(f"{tmp_path}/t/p=d")
+    df = sources.read_union_by_name(spark, f"{tmp_path}/t")
+    assert df.schema["s"].dataType.simpleString() == "struct<x:int,y:string>"
+    assert rows(df.select("a", "p", "s.x", "s.y")) == [(1, "1", 1, None), (2, "b", None, "u"), (3, "c", None, None)]
+    footers = sources.schema_census(spark, df.inputFiles()).groupBy("footer").count().collect()
+    assert sorted(r["count"] for r in footers) == [1, 1, 2] and all(r.footer for r in footers)
+
+
 def test_load_typed_refuses_overflow(spark):
     narrow = T.StructType([T.StructField("n", T.ShortType())])
     df = spark.sql("SELECT 70000L n")

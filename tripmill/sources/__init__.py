@@ -8,6 +8,7 @@ from tripmill.sources.files import (
     read_union_by_name,
     read_zones,
     register_external,
+    schema_census,
 )
 from tripmill.sources.landed import read_json_pages, read_latest_snapshot
 from tripmill.sources.months import ingest_months, month_name, month_path, months_between
@@ -26,4 +27,5 @@ __all__ = [
     "read_union_by_name",
     "read_zones",
     "register_external",
+    "schema_census",
 ]

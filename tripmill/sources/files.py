@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from urllib.parse import quote, unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from py4j.protocol import Py4JError, Py4JJavaError
+from pyarrow.fs import FileSystem
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -13,6 +17,8 @@ from tripmill.functions import whole_number
 from tripmill.operators.projections import keep, union_trips
 from tripmill.schemas import YELLOW_CSV, ZONES
 
+#: Footers that a task of the schema census opens, about.
+_FOOTERS = 64
 _CSV_TIME = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -137,7 +143,7 @@ def _condition(error: Exception) -> str:
 
 
 def _mergeable(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
-    """Files in groups whose footers merge, with the merged schema.
+    """Files in groups whose footers merge, with the merged schema, where tasks can't open the files themselves.
 
     Each try reads footers in one parallel job. Halves of a list that does not merge are tried again,
     so the number of jobs grows with the number of places where a type changes.
@@ -151,6 +157,81 @@ def _mergeable(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.Struct
     return _mergeable(spark, files[:middle]) + _mergeable(spark, files[middle:])
 
 
+def _footers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The Parquet schema of each file as text; null for a file that only Spark's own readers can open."""
+    for batch in batches:
+        found = []
+        for path in batch.column("path").to_pylist():
+            try:
+                system, own = FileSystem.from_uri(quote(path, safe="/:@="))
+                file = system.open_input_file(own)
+            except (pa.ArrowException, ImportError, OSError):
+                found.append(None)
+                continue
+            with file:
+                # The first line names the object, the others are the columns.
+                found.append(str(pq.ParquetFile(file).schema).split("\n", 1)[1])
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.string())], ["path", "footer"])
+
+
+def schema_census(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """(footer, path) of Parquet files: the text of each file's schema, its columns' types and order, read in tasks by one job.
+
+    ``footer`` is NULL for files that only Spark's own readers can open, in a store of its own kind or behind its credentials.
+    A file that is no Parquet file fails the job. One file in each group of equal footers tells the group's types.
+    """
+    tasks = max(1, min(-(-len(files) // _FOOTERS), 4 * spark.sparkContext.defaultParallelism))
+    listed = spark.createDataFrame([(f,) for f in files], "path string").repartition(tasks)
+    return listed.mapInArrow(_footers, "path string, footer string").select("footer", "path")
+
+
+def _merged(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The type that Spark merges two columns' types to, None if it refuses them."""
+    if a == b:
+        return a
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType) and a.scale == b.scale:
+        return max(a, b, key=lambda kind: kind.precision)
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        element = _merged(a.elementType, b.elementType)
+        return element and T.ArrayType(element)
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        key, value = _merged(a.keyType, b.keyType), _merged(a.valueType, b.valueType)
+        return T.MapType(key, value) if key and value else None
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        fields = {f.name.lower(): f for f in a.fields}
+        for f in b.fields:
+            known = fields.get(f.name.lower(), f)
+            kind = _merged(known.dataType, f.dataType)
+            if kind is None:
+                return None
+            fields[f.name.lower()] = T.StructField(known.name, kind)
+        return T.StructType(list(fields.values()))
+    return None
+
+
+def _by_footer(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files in groups that merge: one census job, the columns of one file for each distinct footer, a merge per group.
+
+    How many jobs it takes depends on the number of distinct footers, not on the number or the order of the files.
+    """
+    alike: dict[str | None, list[str]] = {}
+    for footer, path in schema_census(spark, files).collect():
+        alike.setdefault(footer, []).append(path)
+    unknown = alike.pop(None, [])
+    groups: list[tuple[T.StructType, list[str]]] = []
+    for members in sorted(alike.values()):
+        columns = spark.read.parquet(members[0]).schema
+        for at, (known, held) in enumerate(groups):
+            if both := _merged(known, columns):
+                groups[at] = (both, held + members)
+                break
+        else:
+            groups.append((columns, members))
+    # Types of folder names follow from all names of a group.
+    found = [(_parquet(spark, members, merge=True).schema, sorted(members)) for _, members in groups]
+    return found + (_mergeable(spark, sorted(unknown)) if unknown else [])
+
+
 def _by_schema(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
     """Groups of files that merge, as few as equal schemas allow: a union needs one scan per group.
 
@@ -161,7 +242,7 @@ def _by_schema(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.Struct
         tables.setdefault(file.partition("=")[0] if "=" in file else "", []).append(file)
     groups: dict[tuple[str, str], tuple[T.StructType, list[str]]] = {}
     for name, members in tables.items():
-        for schema, part in _mergeable(spark, members):
+        for schema, part in _by_footer(spark, members):
             groups.setdefault((name, schema.json()), (schema, []))[1].extend(part)
     return list(groups.values())
 
@@ -170,7 +251,8 @@ def read_union_by_name(spark: SparkSession, paths: str | Sequence[str]) -> DataF
     """All rows of many Parquet paths, columns matched by name, absent ones NULL.
 
     Footers are merged by one parallel job and the result is one scan. Only if a column has different
-    types in different files is that refused; files are then read in groups that do merge, and the
+    types in different files is that refused; a second job then takes a census of the files' schemas, files are read in
+    as many groups as there are mixtures of types, wherever they lie in the list, and the
     column is widened: numbers to a wider number, times to a time. A number beside a text becomes text;
     any other mixture, such as a truth value beside a number, is refused.
     """
@@ -180,7 +262,8 @@ def read_union_by_name(spark: SparkSession, paths: str | Sequence[str]) -> DataF
     except (PySparkException, Py4JJavaError) as error:  # Spark raises one or the other here
         if not _condition(error).startswith("CANNOT_MERGE"):
             raise
-    files = sorted({f for p in paths for f in spark.read.parquet(p).inputFiles()})
+    # A declared schema keeps Spark from opening a footer to list the files. It lists them as URIs, but reads plain paths.
+    files = sorted({unquote(f) for f in spark.read.schema(T.StructType([])).parquet(*paths).inputFiles()})
     groups = _by_schema(spark, files)
     target: dict[str, T.StructField] = {}
     for schema, _ in groups:
