@@ -23,7 +23,7 @@ _U = np.uint64
 _BYTE_STEP = 0x9E3779B97F4A7C15
 _BYTE_BACK = pow(_BYTE_STEP, -1, 1 << 64)
 _WORD_STEP = _U(0xD6E8FEB86659FD93)
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 #: Bytes of rows that tasks hand to Python at a time, in place of Spark's own bound of 64 MB.
 BATCH_BYTES = 8 << 20
 
