@@ -187,6 +187,22 @@ def test_resample_equals_brute_force(spark, run, percent):
     assert sorted((tuple(r) for r in got.collect()), key=str) == _brute(docs, target, 20, percent, 500, run)
 
 
+def test_gains_compare_shares():
+    # A target of few words is not less likely for its size: each count is taken by its own side's total.
+    source, target = np.array([900, 90, 0, 10]), np.array([1, 1, 8, 0])
+    shares = [((t + 1) / (10 + 4)) / ((s + 1) / (1000 + 4)) for s, t in zip(source.tolist(), target.tolist())]
+    assert resampling.gains_of(source, target).tolist() == [math.floor(1000 * math.log(x)) for x in shares]
+
+
+def test_resample_weighs_by_shares(spark):
+    docs = spark.createDataFrame([(1, "a a a"), (2, "a b"), (3, None), (4, "b c, b")], "doc_id long, text string")
+    target = spark.createDataFrame([("b",), (None,)], "text string")
+    # 8 features and 1, with 10,000 buckets; a is 4 and 0 of them, b is 3 and 1, c is 1 and 0.
+    gain = {w: math.floor(1000 * math.log((t + 1) * 10_008 / ((s + 1) * 10_001))) for w, s, t in (("a", 4, 0), ("b", 3, 1), ("c", 1, 0))}
+    got = {r.doc_id: r.weight for r in resampling.resample(docs, target).collect()}
+    assert got == {1: gain["a"], 2: (gain["a"] + gain["b"]) // 2, 3: 0, 4: (2 * gain["b"] + gain["c"]) // 3}
+
+
 def test_resample_of_empty_tables(spark):
     docs = spark.createDataFrame([(1, "word " * 30)], "doc_id long, text string")
     none = docs.limit(0)
