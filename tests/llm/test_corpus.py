@@ -520,6 +520,38 @@ def test_trees_prune_a_clustered_set():
     assert hits >= 0.9 * 20 * len(asked) and share < 1 / 3
 
 
+def test_the_queue_is_only_asked_where_margins_tie(monkeypatch):
+    import heapq
+
+    def plain(trees, margin, most):
+        """One queue over all trees, a leaf at a time."""
+        queue, rows = sorted((-np.inf, r) for r in trees.roots), set()
+        while queue and len(rows) < most:
+            worst, node = heapq.heappop(queue)
+            while node >= 0:
+                m = margin[node]
+                left, right = trees.children[node]
+                near, far = (right, left) if m > 0 else (left, right)
+                heapq.heappush(queue, (max(worst, abs(m)), far))
+                node = near
+            rows |= set(trees.leaves[-node - 1].tolist())
+        return sorted(rows)
+
+    rng = np.random.default_rng(12)
+    even = rng.standard_normal((3000, 16))
+    for x in (even, rng.integers(0, 3, (700, 4)).astype(float), np.repeat(even[:3], 300, axis=0), even[:20]):
+        trees = forest.Forest.build(x)
+        asked = x[::max(1, len(x) // 9)]
+        margins = (asked.astype(np.float32) @ trees.normals.T - trees.offsets).tolist()
+        for most in (1, 40, len(x) // 2, len(x)):
+            got = [rows.tolist() for rows in trees.candidates(asked, most)]
+            assert got == [plain(trees, m, most) for m in margins]
+    pops = []
+    monkeypatch.setattr(forest.heapq, "heappop", lambda queue, pop=heapq.heappop: pops.append(1) or pop(queue))
+    trees = forest.Forest.build(even)
+    assert all(len(rows) >= 1500 for rows in trees.candidates(even[:50], 1500)) and len(pops) < 50 * 60
+
+
 def test_forest_search_of_odd_rows(spark):
     rows = [(20, [1.0, 0.0], 1), (20, [1.0, 0.0], 1), (40, [0.0, 1.0], 1), (40, [0.0, 2.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [0.5, 0.5], 1),
             (4, [1.0, None], 1), (5, [float("nan"), 1.0], 1), (6, [], 1), (7, [1.0, 2.0, 3.0], 1)]

@@ -67,30 +67,66 @@ class Forest:
         shape = (-1, x.shape[1])
         return cls(np.asarray(normals, dtype=np.float32).reshape(shape), np.asarray(offsets, dtype=np.float32), children, leaves, roots)
 
+    def _paths(self) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """(inner nodes of each depth, nodes' children, each row's leaf in every tree). A leaf's number follows those of the inner nodes."""
+        inner = len(self.children)
+        below = np.asarray([[c if c >= 0 else inner - c - 1 for c in two] for two in self.children], dtype=np.int64).reshape(-1, 2)
+        levels, level = [], np.asarray([r for r in self.roots if r >= 0], dtype=np.int64)
+        while len(level):
+            levels.append(level)
+            level = below[level].ravel()
+            level = level[level < inner]
+        rows = np.concatenate(self.leaves).reshape(len(self.roots), -1)
+        leaf_of = np.empty_like(rows)
+        numbers = np.repeat(inner + np.arange(len(self.leaves)), [len(x) for x in self.leaves])
+        leaf_of[np.arange(len(rows))[:, None], rows] = numbers.reshape(rows.shape)
+        return levels, below, leaf_of
+
+    def _tied(self, worst: np.ndarray, margin: np.ndarray, below: np.ndarray, last: np.float32, taken: np.ndarray, most: int) -> None:
+        """Take leaves whose worst margin is ``last``, as the queue comes to them, until ``most`` rows are taken."""
+        inner = len(self.children)
+        if last == -np.inf:
+            queue = [*self.roots]
+        else:
+            parents, side = np.nonzero((worst[below] == last) & (worst[:inner, None] < last))
+            queue = [self.children[p][s] for p, s in zip(parents.tolist(), side.tolist(), strict=True)]
+        heapq.heapify(queue)
+        n = np.count_nonzero(taken)
+        while n < most:
+            node = heapq.heappop(queue)
+            while node >= 0:
+                m = margin[node]
+                left, right = self.children[node]
+                near, far = (right, left) if m > 0 else (left, right)
+                if max(last, abs(m)) == last:
+                    heapq.heappush(queue, far)
+                node = near
+            rows = self.leaves[-node - 1]
+            # A row in several trees' leaves counts once.
+            n += len(rows) - np.count_nonzero(taken[rows])
+            taken[rows] = True
+
     def candidates(self, queries: np.ndarray, most: int) -> Iterator[np.ndarray]:
-        """At least ``most`` rows for each query: leaves in the order of their worst margin on the way, over all trees at once."""
-        children, leaves = self.children, self.leaves
-        taken = np.zeros(1 + max((int(rows.max()) for rows in leaves if len(rows)), default=0), dtype=bool)
+        """At least ``most`` rows for each query: leaves in the order of their worst margin on the way, over all trees at once.
+
+        The margins of all ways are worked out together, a depth at a time; leaves before the last worst margin that the
+        queue comes to are taken by a comparison, so that only leaves of that very margin pass through the queue.
+        """
+        levels, below, leaf_of = self._paths()
+        most = min(most, leaf_of.shape[1])
         for at in range(0, len(queries), 128):
-            margins = queries[at:at + 128].astype(np.float32) @ self.normals.T - self.offsets
-            for margin in margins:
-                queue = [(-np.inf, r) for r in self.roots]
-                heapq.heapify(queue)
-                margin = margin.tolist()
-                taken[:] = False
-                n = 0
-                while queue and n < most:
-                    worst, node = heapq.heappop(queue)
-                    while node >= 0:
-                        m = margin[node]
-                        left, right = children[node]
-                        near, far = (right, left) if m > 0 else (left, right)
-                        heapq.heappush(queue, (max(worst, abs(m)), far))
-                        node = near
-                    rows = leaves[-node - 1]
-                    # A row in several trees' leaves counts once.
-                    n += len(rows) - np.count_nonzero(taken[rows])
-                    taken[rows] = True
+            margins = np.ascontiguousarray((queries[at:at + 128].astype(np.float32) @ self.normals.T - self.offsets).T)
+            worst = np.full((len(self.children) + len(self.leaves), margins.shape[1]), -np.inf, dtype=np.float32)
+            for level in levels:
+                m, near = margins[level], worst[level]
+                far = np.maximum(near, np.abs(m))
+                worst[below[level, 0]] = np.where(m > 0, far, near)
+                worst[below[level, 1]] = np.where(m > 0, near, far)
+            for own, margin in zip(np.ascontiguousarray(worst.T), np.ascontiguousarray(margins.T), strict=True):
+                first = own[leaf_of].min(axis=0)
+                last = np.partition(first, most - 1)[most - 1]
+                taken = first < last
+                self._tied(own, margin, below, last, taken, most)
                 yield np.flatnonzero(taken)
 
 
