@@ -32,6 +32,21 @@ def test_n_files_and_stats(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1_000
 
 
+def test_n_files_share_rows_and_keep_their_order(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    # One task's rows, many tasks of a row each, fewer rows than files, and none.
+    for k, (rows, parts, want) in enumerate([(1_000, 1, [250] * 4), (30, 30, [7, 7, 8, 8]), (2, 1, None), (0, 1, None)]):
+        path = f"{tmp_path}/n{k}"
+        sinks.write_n_files(spark.range(0, rows, 1, parts).withColumn("s", F.lit("x")), path, 4)
+        files = [pq.read_table(f) for f in glob.glob(f"{path}/*.parquet")]
+        held = [t.column("id").to_pylist() for t in files]
+        assert sorted(i for ids in held for i in ids) == list(range(rows)) and all(t.column_names == ["id", "s"] for t in files)
+        assert want is None or sorted(map(len, held)) == want
+        assert (parts > 1 or all(ids == sorted(ids) for ids in held)) and 1 <= len(held) <= 4
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["n0", "n1", "n2", "n3"]
+
+
 def test_chunks(spark, tmp_path):
     sinks.write_chunks(spark.range(0, 1_000, 1, 1), f"{tmp_path}/c", 300)
     assert len(glob.glob(f"{tmp_path}/c/*.parquet")) == 4
