@@ -320,6 +320,26 @@ def test_plan_uses_every_piece_and_fills_well(seed):
     assert sum(t for _, t in plan) <= least * 1.025 + 1
 
 
+def test_words_of_letters_do_not_need_the_whole_tokenizer(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(packing.TOKENIZER)
+    words, whole = packing.WordIds(path), Tokenizer.from_file(path)
+    asked = []
+    monkeypatch.setattr(words, "_encode", lambda word, encode=words._encode: asked.append(word) or encode(word))
+    plain = "École, été. Straße; ÀÉÎ! größe? Zürich: 2024, x1. word. End"
+    odd = "a.b., ?! e\u0301. \u0130stanbul. \u03a3\u03c3\u03a3, don't. $$$. ×. ÷, ª. <|endoftext|>. 3.14, 中文. naïve\u0301,"
+    for text in (plain, odd, "", "  ", plain + " " + odd, plain.upper(), "\n".join(odd.split())):
+        want = whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(words.ids(text.encode()), dtype="<u4").tolist() == want
+    asked.clear()
+    fresh = "Étéé, écolé. Straßé; éàî! größé? Zürichü: é"
+    words.ids(fresh.encode())
+    # The end marks are known by now.
+    assert asked == []
+
+
 def test_pack_is_an_exact_round_trip(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", F.lit("x").alias("length"))
     odd = spark.createDataFrame([(None, None, "x"), (-1, "", "x"), (-2, "Word's, <|endoftext|> x" * 3000, "x"), (-3, "don't, we'll. Été!", "x"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 import unicodedata
 import zlib
@@ -19,7 +20,9 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Words whose ids a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
+#: Words that the model is given in one call, at most.
+CALL = 100
 #: Pieces of one length that one task ranks, about.
 RANKED = 50_000
 
@@ -165,55 +168,82 @@ for _b in range(256):
 _PROBES = ("a", "word", "größe", "çedilla", "straße", "ñandú", "слово", "naïvetés", "zzzzzz")
 
 
+# Where a mark ends a word after a Latin letter or a digit: a token run of its own, so words are looked up without it.
+_END_MARK = re.compile(rb"[.,;:!?](?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))(?=\s|\Z)")
+
+
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class WordIds(dict):
-    """Ids of a word as little-endian 32-bit bytes. No token of this vocabulary spans white space.
+class WordIds:
+    """Ids of words as little-endian 32-bit bytes. No token of this vocabulary spans white space.
 
     Words are looked up with A-Z in lower case, which the tokenizer makes of them anyway; a word that
-    holds one of the vocabulary's special marks is looked up as it is written, as these are found before letters are folded. Holds the words of the latest texts; those not met again for long are forgotten.
+    holds one of the vocabulary's special marks is looked up as it is written, as these are found before letters are folded.
+    Words of letters alone go to the model, all of a text in one call. Holds the words of the latest texts; those not met
+    again for long are forgotten.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        # The model alone, which takes words that need no folding or cutting.
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.held: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.marks = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = all(self._letters(w.encode()) == self._encode(w) for w in _PROBES)
-
-    def _encode(self, text: str) -> bytes:
-        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _letters(self, word: bytes) -> bytes:
-        """Of a folded, composed word of letters alone, which is one piece for the model."""
-        text = word.decode("ascii") if word.isascii() else "".join(map(_BYTE_CHARS.__getitem__, word))
-        return _packed([t.id for t in self.model.tokenize(text)])
-
-    def _one_piece(self, word: bytes) -> bool:
+        probes = [w.encode() for w in _PROBES]
+        self.plain = self._letters([self._one_piece(w) for w in probes]) == [self._encode(w) for w in probes]
+
+    def _encode(self, word: bytes) -> bytes:
+        return _packed(self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids)
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Of folded, composed words of letters alone, each of which is one piece for the model."""
+        told = self.letters.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids = np.asarray(told.ids, dtype="<u4").tobytes()
+        size = np.bincount(np.asarray(told.word_ids, dtype=np.int64), minlength=len(words))
+        end = (4 * np.cumsum(size)).tolist()
+        return [ids[a:b] for a, b in zip([0, *end], end, strict=False)]
+
+    def _one_piece(self, word: bytes) -> str | None:
+        """A word of letters alone as the model reads it, else None."""
         if word.isascii():
-            return word.isalpha()
+            return word.decode("ascii") if word.isalpha() else None
         text = word.decode("utf-8")
-        return text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)
-
-    def __missing__(self, word: bytes) -> bytes:
-        # A mark after a letter is a token run of its own, so the word is looked up, and remembered, without it.
-        if len(word) > 1 and word[-1] in b".,;:!?" and 97 <= word[-2] <= 122:
-            return self[word[:-1]] + self[word[-1:]]
-        out = self.older.get(word)
-        if out is None:
-            if self.plain and self._one_piece(word):
-                out = self._letters(word)
-            else:
-                out = self._encode(word.decode("utf-8"))
-        if len(self) >= REMEMBERED // 2:
-            self.older = dict(self)
-            self.clear()
-        self[word] = out
+        if not text.isalpha():
+            return None
+        if max(text) <= "\u00ff":
+            text = text.lower()
+        elif text != text.lower() or not unicodedata.is_normalized("NFC", text):
+            return None
+        return "".join(map(_BYTE_CHARS.__getitem__, text.encode()))
+
+    def _learn(self, words: Iterable[bytes]) -> None:
+        """Hold words that are not held."""
+        held, older, names, spelt = self.held, self.older.get, [], []
+        for word in words:
+            ids = older(word)
+            if ids is None:
+                piece = self._one_piece(word) if self.plain else None
+                if piece is not None:
+                    names.append(word)
+                    spelt.append(piece)
+                    continue
+                ids = self._encode(word)
+            held[word] = ids
+        for at in range(0, len(names), CALL):
+            held.update(zip(names[at:at + CALL], self._letters(spelt[at:at + CALL]), strict=True))
+
+    def _of(self, words: list[bytes]) -> list[bytes]:
+        new = set(words).difference(self.held)
+        if new:
+            self._learn(new)
+        out = [*map(self.held.__getitem__, words)]
+        if len(self.held) >= REMEMBERED // 2:
+            self.older, self.held = self.held, {}
         return out
 
     def ids(self, text: bytes) -> bytes:
@@ -222,12 +252,12 @@ class WordIds(dict):
             # Folding letters could make a special mark of what is none.
             folded = text.lower()
             if not any(mark in folded for mark in self.marks):
-                return b"".join([self[w] for w in folded.split()])
+                return b"".join(self._of(_END_MARK.sub(rb" \g<0>", folded).split()))
         return b"".join([self._as_written(w) for w in text.split()])
 
     def _as_written(self, word: bytes) -> bytes:
         folded = word.lower()
-        return self._encode(word.decode("utf-8")) if any(mark in folded for mark in self.marks) else self[folded]
+        return self._encode(word) if any(mark in folded for mark in self.marks) else self._of([folded])[0]
 
 
 #: One memory per vocabulary and worker, kept from task to task.
